@@ -2,9 +2,10 @@
 
 The reference tries, in order, ``%Y-%m-%d``, ``%d/%m/%Y`` and ``%Y/%m/%d`` on
 the stripped text. Spark's pattern parser is more lenient than that (it takes
-``0000``, ``+12024``, 3-digit months), so the shape is checked with an anchored
-regex first, the parts are zero-padded into ISO text and only then turned into
-a calendar-checked date with ``try_to_date``.
+``0000``, ``+12024``, 3-digit months) and slow, so the shape is checked with
+one anchored regex, the three numbers are cut out with ``substring_index``,
+the calendar is checked with integer arithmetic and ``make_date`` builds the
+value only for valid days.
 """
 
 from __future__ import annotations
@@ -14,40 +15,41 @@ from pyspark.sql import functions as F
 
 from .strings import _col, pytrim
 
-# Day field: one or two digits, or a blank followed by one digit (strptime %d).
-_DAY = r"(?: [1-9]|\d{1,2})"
-_MONTH = r"\d{1,2}"
-_YEAR = r"\d{4}"
-
 # The accepted layouts, in the order the reference tries them.
 DATE_LAYOUTS = ("%Y-%m-%d", "%d/%m/%Y", "%Y/%m/%d")
 
-_YMD_DASH = rf"^({_YEAR})-({_MONTH})-({_DAY})$"
-_DMY_SLASH = rf"^({_DAY})/({_MONTH})/({_YEAR})$"
-_YMD_SLASH = rf"^({_YEAR})/({_MONTH})/({_DAY})$"
-
+# Day field as strptime's %d reads it: one or two digits, or a blank and one
+# digit. Year: exactly four digits. Month: one or two digits.
+# Groups: 1 year, 2 separator, 3 month, 4|5 day  (year-first layouts, same separator)
+#         6|7 day, 8 month, 9 year               (day-first layout, slashes)
+_SHAPE = (r"^(?:(\d{4})([-/])(\d{1,2})\2(?: ([1-9])|(\d{1,2}))"
+          r"|(?: ([1-9])|(\d{1,2}))/(\d{1,2})/(\d{4}))$")
 
-def _parts(t: Column):
-    """(year, month, day) text parts of the first layout that matches."""
-    def pick(y_idx: int, m_idx: int, d_idx: int, pat: str):
-        return (F.regexp_extract(t, pat, y_idx), F.regexp_extract(t, pat, m_idx),
-                F.regexp_extract(t, pat, d_idx))
 
-    a, b, c = pick(1, 2, 3, _YMD_DASH), pick(3, 2, 1, _DMY_SLASH), pick(1, 2, 3, _YMD_SLASH)
-    out = []
-    for i in range(3):
-        out.append(F.when(t.rlike(_YMD_DASH), a[i])
-                    .when(t.rlike(_DMY_SLASH), b[i])
-                    .when(t.rlike(_YMD_SLASH), c[i]))
-    return out
+def days_in_month(y: Column, m: Column) -> Column:
+    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    return (F.when(m == 2, F.when(leap, 29).otherwise(28))
+            .when(m.isin(4, 6, 9, 11), 30).otherwise(31))
 
 
 def normalize_date(c) -> Column:
     """Text → DATE, or null when no layout matches or the day does not exist."""
-    t = pytrim(c)
-    y, m, d = _parts(t)
-    iso = F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(F.trim(d), 2, "0"))
-    return F.when(y.isNotNull() & (y != "0000"), F.try_to_date(iso, "yyyy-MM-dd"))
+    return date_from_stripped(pytrim(c))
+
+
+def date_from_stripped(t: Column) -> Column:
+    """``normalize_date`` of text that is already stripped (pass a column reference)."""
+    u = F.replace(t, F.lit("/"), F.lit("-"))
+    first = F.substring_index(u, "-", 1)
+    middle = F.substring_index(F.substring_index(u, "-", 2), "-", -1)
+    last = F.substring_index(u, "-", -1)
+    year_first = F.length(first) == 4
+    y = F.when(year_first, first).otherwise(last).try_cast("int")
+    m = middle.try_cast("int")
+    d = F.when(year_first, last).otherwise(first).try_cast("int")  # " 5" reads as 5
+    valid = (t.rlike(_SHAPE) & (y >= 1) & (m >= 1) & (m <= 12) & (d >= 1)
+             & (d <= days_in_month(y, m)))
+    return F.when(valid, F.make_date(y, m, d))
 
 
 def iso_date(c) -> Column:

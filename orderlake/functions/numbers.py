@@ -1,9 +1,11 @@
 """Number parsing with Python ``int()`` / ``float()`` acceptance rules.
 
-``try_cast`` alone is close but not equal: Spark doubles accept ``1d``/``1f``,
-Python accepts digit-group underscores. The text is first checked with an
-anchored regex, then underscores are dropped and ``try_cast`` does the work.
-Integers beyond 64 bits become null (documented deviation; Python accepts).
+``try_cast`` agrees with Python on plain numbers and does the work. Where the
+two differ, cheap checks decide: Python also takes digit-group underscores and
+signed ``nan`` (handled by an anchored regex of Python's grammar, evaluated
+only when ``try_cast`` gives null), while Spark doubles also take hex floats
+and a ``d``/``f`` suffix (rejected). Integers beyond 64 bits become null
+(documented deviation; Python accepts them).
 """
 
 from __future__ import annotations
@@ -20,15 +22,36 @@ FLOAT_RE = rf"(?i)^[+-]?(?:(?:{_D}\.?(?:{_D})?|\.{_D})(?:e[+-]?{_D})?|nan|inf(?:
 
 def parse_int(c) -> Column:
     """``int(text)`` or null."""
-    t = pytrim(c)
-    return F.when(t.rlike(INT_RE), F.regexp_replace(t, "_", "").try_cast("bigint"))
+    return int_from_stripped(pytrim(c))
+
+
+def int_from_stripped(t: Column) -> Column:
+    """``parse_int`` of text that is already stripped (pass a column reference)."""
+    return (F.when(t.contains("_"), F.when(t.rlike(INT_RE),
+                                           F.replace(t, F.lit("_"), F.lit("")).try_cast("bigint")))
+            .otherwise(t.try_cast("bigint")))
+
+
+def _spark_only_double(t: Column) -> Column:
+    """Text Spark reads as a double but Python does not: hex or a d/f suffix."""
+    last = F.lower(F.substring(t, -1, 1))
+    suffix = last.isin("d", "f") & ~F.lower(t).endswith("inf")
+    return t.contains("x") | t.contains("X") | suffix
 
 
 def parse_float(c) -> Column:
     """``float(text)`` or null; nan and inf are values."""
-    t = F.lower(pytrim(c))
-    cleaned = F.regexp_replace(F.regexp_replace(t, "_", ""), r"^[+-](nan)$", "$1")
-    return F.when(t.rlike(FLOAT_RE), cleaned.try_cast("double"))
+    return float_from_stripped(pytrim(c))
+
+
+def float_from_stripped(t: Column) -> Column:
+    """``parse_float`` of text that is already stripped (pass a column reference)."""
+    fast = t.try_cast("double")
+    low = F.lower(t)
+    slow = F.when(low.rlike(FLOAT_RE), F.regexp_replace(
+        F.replace(low, F.lit("_"), F.lit("")), r"^[+-](nan)$", "$1").try_cast("double"))
+    return (F.when(fast.isNotNull(), F.when(~_spark_only_double(t), fast))
+            .otherwise(slow))
 
 
 def total_with_fallback(total_text, quantity, unit_price) -> Column:

@@ -109,12 +109,13 @@ def publishable(classified: DataFrame, outcomes: DataFrame) -> DataFrame:
             .join(sized_broadcast(failed), "source_file", "left_anti"))
 
 
-def logged_before_failure(rows_with_row: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Row events the reference logs: those before the file's poison row.
-
-    Processing stops at the first poison row, so later rows are never seen.
+def logged_before_failure(rows_with_row: DataFrame, outcomes: DataFrame,
+                          inclusive: bool = False) -> DataFrame:
+    """Row events the reference logs: those before the file's poison row
+    (``inclusive``: and on it). Processing stops there; later rows are never seen.
     """
     stop = outcomes.where(F.col("poison_row").isNotNull()).select("source_file", "poison_row")
+    before = (F.col("row") <= F.col("poison_row")) if inclusive else (F.col("row") < F.col("poison_row"))
     return (rows_with_row.join(sized_broadcast(stop), "source_file", "left")
-            .where(F.col("poison_row").isNull() | (F.col("row") < F.col("poison_row")))
+            .where(F.col("poison_row").isNull() | before)
             .drop("poison_row"))

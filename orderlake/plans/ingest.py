@@ -86,9 +86,9 @@ class Ingest:
                                               "computed double")
         rows = self.classified.where(F.col("total_was_computed")).select(
             "source_file", "block_start", "mid", "raw_order_id",
-            F.col("total_amount").alias("computed"))
+            F.col("computed_total").alias("computed"))
         numbered = gates.number_rows(rows, self.offsets)
-        return gates.logged_before_failure(numbered, self.outcomes).select(
+        return gates.logged_before_failure(numbered, self.outcomes, inclusive=True).select(
             "source_file", "row", "raw_order_id", "computed")
 
     # ---- file outputs ------------------------------------------------------

@@ -100,31 +100,178 @@ def with_fixture(body: str, files: bool = False) -> str:
     return f"WITH {BASE},{RAW_FILES if files else RAW},{PARSED}\n{body}"
 
 
-# Per-file gating of the file variant. A row that passes every row check but
-# has a non-integer OrderID poisons its file; a file with no accepted row fails.
-FILE_STATUS = """,
+
+# Per-file gating of the file variant. Rows are numbered in the order they are
+# written into each file. A row that passes every row check but has a
+# non-integer OrderID poisons its file; a file with no accepted row fails.
+FILE_STATUS = r""",
 file_rows AS (
-  SELECT file_no, reason, oid, "OrderID",
-         row_number() OVER (PARTITION BY file_no ORDER BY l_orderkey, l_linenumber, "OrderID",
-             "OrderDate", "CustomerEmail", "Country", "Product", "Quantity", "UnitPrice",
-             "TotalAmount") AS row
+  SELECT *,
+    row_number() OVER (PARTITION BY file_no ORDER BY l_orderkey, l_linenumber, "OrderID",
+        "OrderDate", "CustomerEmail", "Country", "Product", "Quantity", "UnitPrice",
+        "TotalAmount") AS row,
+    (reason IS NULL AND oid IS NULL) AS poison
   FROM cls
 ),
 file_status AS (
   SELECT file_no,
     count(*) FILTER (WHERE reason IS NULL AND oid IS NOT NULL) AS rows_accepted,
     count(*) FILTER (WHERE reason IS NOT NULL) AS rows_skipped,
-    arg_min('invalid literal for int() with base 10: ''' || "OrderID" || '''', row)
-        FILTER (WHERE reason IS NULL AND oid IS NULL) AS poison_error
+    min(row) FILTER (WHERE poison) AS poison_row
   FROM file_rows GROUP BY file_no
 ),
 file_outcome AS (
-  SELECT *,
-    CASE WHEN poison_error IS NOT NULL THEN poison_error
-         WHEN rows_accepted = 0 THEN 'No valid rows found after cleaning' END AS error
-  FROM file_status
+  SELECT s.*,
+    CASE WHEN s.poison_row IS NOT NULL
+           THEN 'invalid literal for int() with base 10: ''' || p."OrderID" || ''''
+         WHEN s.rows_accepted = 0 THEN 'No valid rows found after cleaning' END AS error
+  FROM file_status s LEFT JOIN file_rows p ON p.file_no = s.file_no AND p.row = s.poison_row
 )"""
 
 
 def with_files(body: str) -> str:
     return f"WITH {BASE},{RAW_FILES},{PARSED}{FILE_STATUS}\n{body}"
+
+
+HEADER_LINE = "OrderID,OrderDate,CustomerEmail,Country,Product,Quantity,UnitPrice,TotalAmount"
+
+VIP = ("SELECT customer_email, round(sum(total_amount), 2) AS total_spent, "
+       "count(order_id) AS order_count FROM {src} GROUP BY customer_email")
+MARKET = ("SELECT country, round(sum(total_amount), 2) AS total_revenue, "
+          "count(order_id) AS order_count FROM {src} GROUP BY country")
+PRODUCT = ("SELECT product, round(sum(total_amount), 2) AS total_revenue, "
+           "CAST(sum(quantity) AS BIGINT) AS total_units_sold, count(order_id) AS order_count "
+           "FROM {src} GROUP BY product")
+LABELS = "'all' AS year, 'all' AS month, 'all' AS day"
+FINAL_COLS = ("order_id, order_date, customer_email, country, product, quantity, unit_price, "
+              "total_amount, CAST(year AS VARCHAR) AS year, month, day")
+PUBLISHED = ("(SELECT c.* FROM clean_all c JOIN file_outcome f USING (file_no) "
+             "WHERE f.error IS NULL)")
+ERRORS = "(SELECT event_id, ts FROM events WHERE event_type = 'error')"
+
+ALARM = f"""
+WITH b AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS arrivals
+  FROM {ERRORS} e GROUP BY 1
+), g AS (
+  SELECT unnest(generate_series((SELECT min(window_start) FROM b),
+                                (SELECT max(window_start) FROM b), INTERVAL 5 MINUTE)) AS window_start
+), d AS (
+  SELECT g.window_start, coalesce(b.arrivals, 0) AS arrivals FROM g LEFT JOIN b USING (window_start)
+), s AS (
+  SELECT window_start, arrivals,
+    CAST(sum(arrivals) OVER (ORDER BY window_start ROWS BETWEEN 4031 PRECEDING AND CURRENT ROW)
+         AS BIGINT) AS backlog
+  FROM d
+)
+SELECT window_start, arrivals, backlog,
+  CASE WHEN backlog >= 1 THEN 'ALARM' ELSE 'OK' END AS state FROM s"""
+
+ONE_PASS = (
+    "SELECT 'vip_customers' AS rollup, customer_email AS group_key, "
+    "round(sum(total_amount), 2) AS amount, CAST(sum(quantity) AS BIGINT) AS units, "
+    "count(order_id) AS order_count FROM clean_all GROUP BY customer_email "
+    "UNION ALL SELECT 'market_performance', country, round(sum(total_amount), 2), "
+    "CAST(sum(quantity) AS BIGINT), count(order_id) FROM clean_all GROUP BY country "
+    "UNION ALL SELECT 'product_performance', product, round(sum(total_amount), 2), "
+    "CAST(sum(quantity) AS BIGINT), count(order_id) FROM clean_all GROUP BY product")
+
+TOP_MARKET = (
+    "SELECT CAST(year AS VARCHAR) AS year, country, revenue FROM ("
+    "SELECT year, country, round(sum(total_amount), 2) AS revenue, "
+    "rank() OVER (PARTITION BY year ORDER BY round(sum(total_amount), 2) DESC) AS rnk "
+    "FROM clean_all GROUP BY year, country) WHERE rnk = 1")
+
+ORACLES: dict[str, str] = {
+    "scan_raw_csv": with_files(
+        'SELECT file_no, "OrderID", "OrderDate", "CustomerEmail", "Country", "Product", '
+        '"Quantity", "UnitPrice", "TotalAmount" FROM raw'),
+    "header_check": with_files(
+        f"SELECT DISTINCT file_no, '{HEADER_LINE}' AS header, true AS utf8_ok, "
+        "CAST(NULL AS VARCHAR) AS error FROM raw"),
+    "stream_ingest": with_files(f"SELECT {CLEAN_COLS} FROM {PUBLISHED} p"),
+    "scan_catalog_orders": with_fixture(f"SELECT {FINAL_COLS} FROM clean_all"),
+    "scan_final_orders_by_day": with_fixture(
+        f"SELECT {FINAL_COLS} FROM clean_all WHERE year = 1997"),
+    "clean_orders": with_fixture(f"SELECT {CLEAN_COLS} FROM clean_all"),
+    "normalize_date": with_fixture(
+        'SELECT "OrderDate" AS order_date_text, d AS order_date FROM parsed'),
+    "normalize_email": with_fixture(
+        'SELECT "CustomerEmail" AS email_text, '
+        "coalesce(nullif(lower(trim(\"CustomerEmail\")), ''), 'unknown@unknown.com') "
+        "AS customer_email FROM raw"),
+    "normalize_country": with_fixture(
+        'SELECT "Country" AS country_text, upper(trim("Country")) AS country FROM raw'),
+    "normalize_product": with_fixture(
+        'SELECT "Product" AS product_text, trim("Product") AS product FROM raw'),
+    "parse_quantity": with_fixture('SELECT "Quantity" AS quantity_text, q AS quantity FROM parsed'),
+    "parse_unit_price": with_fixture(
+        'SELECT "UnitPrice" AS unit_price_text, u AS unit_price FROM parsed'),
+    "total_amount_fallback": with_fixture(
+        'SELECT "TotalAmount" AS total_text, q AS quantity, u AS unit_price, '
+        "coalesce(t, q * u) AS total_amount FROM parsed WHERE q IS NOT NULL AND u IS NOT NULL"),
+    "date_parts": with_fixture(
+        "SELECT d AS order_date, CAST(year(d) AS INTEGER) AS year, strftime(d, '%m') AS month, "
+        "strftime(d, '%d') AS day FROM parsed WHERE d IS NOT NULL"),
+    "rollup_partition_labels": with_fixture(
+        f"SELECT *, {LABELS} FROM ({VIP.format(src='clean_all')})"),
+    "reject_invalid_date": with_fixture(
+        'SELECT "OrderID" AS raw_order_id, value FROM cls WHERE reason = \'invalid_date\''),
+    "reject_invalid_quantity": with_fixture(
+        'SELECT "OrderID" AS raw_order_id, value, detail FROM cls '
+        "WHERE reason = 'invalid_quantity'"),
+    "reject_invalid_unit_price": with_fixture(
+        'SELECT "OrderID" AS raw_order_id, value FROM cls WHERE reason = \'invalid_unit_price\''),
+    "reject_reason": with_fixture(
+        'SELECT "OrderID" AS raw_order_id, '
+        "CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, reason FROM cls"),
+    "poison_files": with_files(
+        "SELECT file_no, poison_row, error FROM file_outcome WHERE poison_row IS NOT NULL"),
+    "no_valid_rows_files": with_files(
+        "SELECT file_no, rows_skipped, error FROM file_outcome "
+        "WHERE poison_row IS NULL AND rows_accepted = 0"),
+    "published_orders": with_files(f"SELECT {CLEAN_COLS} FROM {PUBLISHED} p"),
+    "rejects": with_files(
+        'SELECT r.file_no, r.row, r.reason, r.value, r.detail, r."OrderID" AS raw_order_id '
+        "FROM file_rows r JOIN file_status s USING (file_no) "
+        "WHERE r.reason IS NOT NULL AND (s.poison_row IS NULL OR r.row < s.poison_row)"),
+    "repairs": with_files(
+        'SELECT r.file_no, r.row, r."OrderID" AS raw_order_id, r.q * r.u AS computed '
+        "FROM file_rows r JOIN file_status s USING (file_no) "
+        "WHERE r.reason IS NULL AND r.t IS NULL "
+        "AND (s.poison_row IS NULL OR r.row <= s.poison_row)"),
+    "ingest_metrics": with_files(
+        "SELECT file_no, rows_accepted, rows_skipped FROM file_status WHERE poison_row IS NULL"),
+    "reject_profile": with_fixture(
+        "SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, reason, "
+        "count(*) AS rows, count(*) FILTER (WHERE reason IS NULL AND t IS NULL) AS computed_totals, "
+        "count(*) FILTER (WHERE reason IS NULL AND isnan(coalesce(t, q * u))) AS nan_totals "
+        "FROM cls GROUP BY 1, 2"),
+    "dead_letters": with_files(
+        "SELECT file_no, error, TIMESTAMP '2024-02-01 00:00:00' AS timestamp, "
+        "'orderlake-check' AS request_id FROM file_outcome WHERE error IS NOT NULL"),
+    "dead_letter_retention": (
+        f"SELECT event_id, ts FROM {ERRORS} e "
+        f"WHERE ts > (SELECT max(ts) FROM {ERRORS} m) - INTERVAL 14 DAY "
+        f"AND ts <= (SELECT max(ts) FROM {ERRORS} m2)"),
+    "dead_letter_alarm": ALARM,
+    "run_summary": with_files(
+        "SELECT file_no, 'File processed successfully' AS message, rows_accepted AS rows_written "
+        "FROM file_outcome WHERE error IS NULL"),
+    "vip_customers": with_fixture(VIP.format(src="clean_all")),
+    "market_performance": with_fixture(MARKET.format(src="clean_all")),
+    "product_performance": with_fixture(PRODUCT.format(src="clean_all")),
+    "rollups_one_pass": with_fixture(ONE_PASS),
+    "sink_clean_csv": with_fixture(f"SELECT {CLEAN_COLS} FROM clean_all"),
+    "sink_rollup_csv": with_fixture(VIP.format(src="clean_all")),
+    "sink_rollup_parquet": with_fixture(
+        f"SELECT *, {LABELS} FROM ({PRODUCT.format(src='clean_all')})"),
+    "sink_orders_parquet": with_fixture(f"SELECT {FINAL_COLS} FROM clean_all"),
+    "adhoc_sql_daily_revenue": with_fixture(
+        "SELECT order_date, round(sum(total_amount), 2) AS revenue, count(order_id) AS orders "
+        "FROM clean_all GROUP BY order_date"),
+    "adhoc_sql_top_market": with_fixture(TOP_MARKET),
+    "incremental_rerun": with_files(f"SELECT {CLEAN_COLS} FROM {PUBLISHED} p"),
+    "end_to_end_run": with_files(
+        f"SELECT *, {LABELS} FROM ({VIP.format(src=PUBLISHED + ' p')})"),
+}

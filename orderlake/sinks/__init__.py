@@ -1 +1,6 @@
-"""sinks"""
+"""Writers for the clean table, the rollups and the partitioned datasets."""
+
+from .writers import (write_clean_csv, write_orders_parquet, write_rollup_csv,
+                      write_rollup_parquet)
+
+__all__ = ["write_clean_csv", "write_orders_parquet", "write_rollup_csv", "write_rollup_parquet"]

@@ -46,9 +46,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.col("o_custkey").alias("c_custkey"), "o_orderdate")
               .join(cust, "c_custkey"))
     parts = t("part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_retailprice")
+    # lineitem ⋈ orders is a big-to-big join: a sort-merge join on the order
+    # key. Without the hint the size estimate of orders ⋈ customer (a product
+    # of sizes) makes the planner broadcast lineitem, which leaves the whole
+    # per-row parse to the few tasks that scan orders.
     return (t("lineitem")
             .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
-            .join(orders, "l_orderkey")
+            .join(orders.hint("merge"), "l_orderkey")
             .join(parts, "l_partkey"))
 
 
@@ -129,16 +133,19 @@ def write_raw_files(frame: DataFrame, path: str) -> str:
 
 
 def stage_raw_files(spark: SparkSession, sf_dir: str, where: Column | None = None,
-                    tag: str = "all") -> str:
-    """Write the file variant into the shared scratch folder (once per session).
+                    path: str | None = None) -> str:
+    """Write the file variant as CSV files into the shared scratch folder.
 
-    ``where`` selects a subset of files (used to simulate late arrivals).
+    Without ``where``/``path`` the full set is written once per session and
+    reused; ``where`` selects some files (to simulate late arrivals).
     """
     from ..session import unique_path
-    key = (sf_dir.rstrip("/"), tag, id(spark.sparkContext))
-    if key not in _STAGED:
-        frame = raw_order_files_frame(spark, sf_dir)
+    frame = raw_order_files_frame(spark, sf_dir)
+    if where is not None or path is not None:
         if where is not None:
             frame = frame.where(where)
-        _STAGED[key] = write_raw_files(frame, unique_path(spark, f"raw-{tag}"))
+        return write_raw_files(frame, path or unique_path(spark, "raw-part"))
+    key = (sf_dir.rstrip("/"), id(spark.sparkContext))
+    if key not in _STAGED:
+        _STAGED[key] = write_raw_files(frame, unique_path(spark, "raw-all"))
     return _STAGED[key]
