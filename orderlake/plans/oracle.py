@@ -182,7 +182,27 @@ TOP_MARKET = (
     "rank() OVER (PARTITION BY year ORDER BY round(sum(total_amount), 2) DESC) AS rnk "
     "FROM clean_all GROUP BY year, country) WHERE rnk = 1")
 
+# CSV type inference of the processed orders: integers are "int" when every
+# value fits 32 bits; zero-padded month/day text reads as numbers.
+DISCOVER = with_fixture("""
+SELECT 'orders' AS table_name, col_name, data_type, ordinal FROM (
+  SELECT 'order_id' AS col_name, CASE WHEN (SELECT max(abs(order_id)) FROM clean_all) < 2147483648
+         THEN 'int' ELSE 'bigint' END AS data_type, 0 AS ordinal
+  UNION ALL SELECT 'order_date', 'date', 1
+  UNION ALL SELECT 'customer_email', 'string', 2
+  UNION ALL SELECT 'country', 'string', 3
+  UNION ALL SELECT 'product', 'string', 4
+  UNION ALL SELECT 'quantity', CASE WHEN (SELECT max(abs(quantity)) FROM clean_all) < 2147483648
+         THEN 'int' ELSE 'bigint' END, 5
+  UNION ALL SELECT 'unit_price', 'double', 6
+  UNION ALL SELECT 'total_amount', 'double', 7
+  UNION ALL SELECT 'year', 'int', 8
+  UNION ALL SELECT 'month', 'int', 9
+  UNION ALL SELECT 'day', 'int', 10
+) t""")
+
 ORACLES: dict[str, str] = {
+    "discover_schema": DISCOVER,
     "scan_raw_csv": with_files(
         'SELECT file_no, "OrderID", "OrderDate", "CustomerEmail", "Country", "Product", '
         '"Quantity", "UnitPrice", "TotalAmount" FROM raw'),

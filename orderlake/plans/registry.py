@@ -59,10 +59,17 @@ def _files(spark: SparkSession, sf: str) -> Ingest:
     return _INGESTS[key]
 
 
+_FINAL: dict[tuple, str] = {}
+
+
 def _final_orders(spark: SparkSession, sf: str) -> str:
-    path = unique_path(spark, "final-orders")
-    write_orders_parquet(_clean(spark, sf), path)
-    return path
+    """The date-partitioned orders dataset, written once per session."""
+    key = (sf.rstrip("/"), id(spark.sparkContext))
+    if key not in _FINAL:
+        path = unique_path(spark, "final-orders")
+        write_orders_parquet(_clean(spark, sf), path)
+        _FINAL[key] = path
+    return _FINAL[key]
 
 
 # ---- scalar functions ------------------------------------------------------
@@ -257,7 +264,8 @@ def q_sink_rollup_parquet(spark, sf):
 
 
 def q_sink_orders_parquet(spark, sf):
-    return catalog.read_final_orders(spark, _final_orders(spark, sf))
+    path = write_orders_parquet(_clean(spark, sf), unique_path(spark, "orders-parquet"))
+    return catalog.read_final_orders(spark, path)
 
 
 # ---- catalog and SQL -------------------------------------------------------------------

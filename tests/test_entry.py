@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-ROWS_ONLY = {"dead_letters_json", "failure_alerts", "discover_schema"}
+ROWS_ONLY = {"dead_letters_json", "failure_alerts"}
 
 
 def test_entry_runs(spark):
