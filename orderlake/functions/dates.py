@@ -37,21 +37,38 @@ def normalize_date(c) -> Column:
     return date_from_stripped(pytrim(c))
 
 
-def date_from_stripped(t: Column) -> Column:
-    """``normalize_date`` of text that is already stripped (pass a column reference)."""
+def date_fields(t: Column) -> dict[str, Column]:
+    """Shape check and the year, month, day numbers of stripped date text.
+
+    Computed as separate columns so the validation step refers to plain
+    columns (small generated code, no repeated sub-trees).
+    """
     u = F.replace(t, F.lit("/"), F.lit("-"))
     first = F.substring_index(u, "-", 1)
     middle = F.substring_index(F.substring_index(u, "-", 2), "-", -1)
     last = F.substring_index(u, "-", -1)
     year_first = F.length(first) == 4
-    y = F.when(year_first, first).otherwise(last).try_cast("int")
-    m = middle.try_cast("int")
-    d = F.when(year_first, last).otherwise(first).try_cast("int")  # " 5" reads as 5
-    valid = (t.rlike(_SHAPE) & (y >= 1) & (m >= 1) & (m <= 12) & (d >= 1)
+    return {
+        "shape_ok": t.rlike(_SHAPE),
+        "y": F.when(year_first, first).otherwise(last).try_cast("int"),
+        "m": middle.try_cast("int"),
+        "d": F.when(year_first, last).otherwise(first).try_cast("int"),  # " 5" reads as 5
+    }
+
+
+def date_from_fields(shape_ok: Column, y: Column, m: Column, d: Column) -> Column:
+    """DATE from checked fields; null unless the day exists (pass column references)."""
+    valid = (shape_ok & (y >= 1) & (m >= 1) & (m <= 12) & (d >= 1)
              & (d <= days_in_month(y, m)))
     return F.when(valid, F.make_date(y, m, d))
 
 
+def date_from_stripped(t: Column) -> Column:
+    """``normalize_date`` of text that is already stripped."""
+    f = date_fields(t)
+    return date_from_fields(f["shape_ok"], f["y"], f["m"], f["d"])
+
+
 def iso_date(c) -> Column:
     return F.date_format(_col(c), "yyyy-MM-dd")
 
@@ -61,6 +78,6 @@ def date_parts(c) -> dict[str, Column]:
     d = _col(c)
     return {
         "year": F.year(d).cast("int"),
-        "month": F.date_format(d, "MM"),
-        "day": F.date_format(d, "dd"),
+        "month": F.lpad(F.month(d).cast("string"), 2, "0"),
+        "day": F.lpad(F.dayofmonth(d).cast("string"), 2, "0"),
     }

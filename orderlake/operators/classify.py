@@ -2,8 +2,8 @@
 outcome of the reference's row checks, and the file-poisoning error.
 
 Input: a frame with the eight raw text columns (null means the field is
-missing from a short row) and optionally ``_absent``, an array of required
-column names missing from the file's header. Other columns pass through; the
+missing from a short row) and optionally boolean ``_absent_<column>`` flags,
+true when the file's header lacks that required column. Other columns pass through; the
 raw text itself is replaced by the clean columns (plus ``raw_order_id``).
 
 The checks run in the reference's order; the first failing one decides:
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (date_from_stripped, date_parts, email_from_stripped,
+from ..functions import (date_fields, date_from_fields, date_parts, email_from_stripped,
                          float_from_stripped, int_from_stripped, py_repr, pytrim)
 from ..schemas import CLEAN_COLUMNS, RAW_COLUMNS
 
@@ -54,14 +54,15 @@ OUTCOME_COLUMNS = ("status", "reason", "value", "detail", "poison_error", "total
 
 
 def _absent(df: DataFrame, name: str) -> Column:
-    if "_absent" in df.columns:
-        return F.coalesce(F.array_contains(F.col("_absent"), name), F.lit(False))
+    """True when the file's header lacks ``name`` (flag columns ``_absent_<name>``)."""
+    if f"_absent_{name}" in df.columns:
+        return F.col(f"_absent_{name}")
     return F.lit(False)
 
 
 def _none_error(df: DataFrame, name: str, usage_error: str) -> Column:
     """KeyError text when the header lacks the column, else the None error."""
-    if "_absent" not in df.columns:
+    if f"_absent_{name}" not in df.columns:
         return F.lit(usage_error)
     return F.when(_absent(df, name), F.lit(f"'{name}'")).otherwise(F.lit(usage_error))
 
@@ -87,8 +88,9 @@ def classify(raw: DataFrame) -> DataFrame:
     # Spark names are case-insensitive: raw "Country" would clash with the
     # clean "country", so raw text leaves the frame (the OrderID text is kept
     # as raw_order_id for reject reports).
-    keep = [x for x in raw.columns if x != "_absent" and x not in RAW_COLUMNS]
-    absent = [F.col("_absent")] if "_absent" in raw.columns else []
+    keep = [x for x in raw.columns if not x.startswith("_absent_") and x not in RAW_COLUMNS]
+    absent = [F.col(x) for x in raw.columns if x.startswith("_absent_")]
+    absent_names = [x for x in raw.columns if x.startswith("_absent_")]
 
     # Projection 1: strip every text once. Later projections refer to the
     # stripped columns, so no parser inlines the strip expression again.
@@ -103,18 +105,26 @@ def classify(raw: DataFrame) -> DataFrame:
         pytrim(c["OrderID"]).alias("_s_OrderID"),
     )
     s_ = {n: F.col(f"_s_{n}") for n in RAW_COLUMNS}
-    # Projection 2: parse.
+    passthrough = [x for x in stripped.columns]
+    # Projection 1b: cut the date into fields.
+    stripped = stripped.select(
+        *passthrough, *[v.alias(f"_date_{k}") for k, v in date_fields(s_["OrderDate"]).items()])
+    # Projection 2: parse. The parsed values are the optimizer barrier (see
+    # ``_opaque``): filters on anything derived from them stop here.
+    fields = {
+        "order_date": date_from_fields(*[F.col(f"_date_{k}") for k in ("shape_ok", "y", "m", "d")]),
+        "customer_email": email_from_stripped(s_["CustomerEmail"]),
+        "country": F.upper(s_["Country"]),
+        "product": s_["Product"],
+        "quantity": int_from_stripped(s_["Quantity"]),
+        "unit_price": float_from_stripped(s_["UnitPrice"]),
+        "_supplied_total": float_from_stripped(s_["TotalAmount"]),
+        "order_id": int_from_stripped(s_["OrderID"]),
+    }
     parsed = stripped.select(
-        *keep, *absent, "raw_order_id", "_date_text", "_qty_text", "_price_text",
+        *keep, *absent_names, "raw_order_id", "_date_text", "_qty_text", "_price_text",
         "_email_none", "_country_none", "_product_none", "_id_none",
-        date_from_stripped(s_["OrderDate"]).alias("order_date"),
-        email_from_stripped(s_["CustomerEmail"]).alias("customer_email"),
-        F.upper(s_["Country"]).alias("country"),
-        s_["Product"].alias("product"),
-        int_from_stripped(s_["Quantity"]).alias("quantity"),
-        float_from_stripped(s_["UnitPrice"]).alias("unit_price"),
-        float_from_stripped(s_["TotalAmount"]).alias("_supplied_total"),
-        int_from_stripped(s_["OrderID"]).alias("order_id"),
+        *[_opaque(v).alias(k) for k, v in fields.items()],
     )
     q, u, d = F.col("quantity"), F.col("unit_price"), F.col("order_date")
     code = (
@@ -132,13 +142,7 @@ def classify(raw: DataFrame) -> DataFrame:
         .when(F.col("_product_none"), P_PRODUCT_NONE)
         .otherwise(OK_CODE)
     )
-    # Optimizer barrier: Catalyst pushes a filter on any column derived from
-    # the code (status, reason) below these projections by inlining the whole
-    # parse tree into the filter, so every parser would run twice and the
-    # generated code would outgrow codegen limits. A filter cannot be pushed
-    # through a projection with a nondeterministic field; this guard is
-    # always true and costs one comparison per row.
-    coded = parsed.withColumn("_code", F.when(F.spark_partition_id() >= 0, code))
+    coded = parsed.withColumn("_code", code)
 
     k = F.col("_code")
     status = (F.when(k == OK_CODE, F.lit(ACCEPTED))
@@ -167,16 +171,32 @@ def classify(raw: DataFrame) -> DataFrame:
     computed = (k == OK_CODE) | (k >= TOTAL_DONE)
     computed = computed & F.col("_supplied_total").isNull()
     parts = date_parts(d)
-    return coded.select(
-        *keep, "raw_order_id",
-        "order_id", "order_date", "customer_email", "country", "product", "quantity",
-        "unit_price", F.coalesce(F.col("_supplied_total"), q * u).alias("total_amount"),
-        *[v.alias(n) for n, v in parts.items()],
-        status.alias("status"), reason.alias("reason"), value.alias("value"),
-        detail.alias("detail"), error.alias("poison_error"),
-        computed.alias("total_was_computed"),
-        F.when(computed, q * u).alias("computed_total"),
-    )
+    out = {
+        **{x: F.col(x) for x in keep}, "raw_order_id": F.col("raw_order_id"),
+        **{x: F.col(x) for x in ("order_id", "order_date", "customer_email", "country",
+                                 "product", "quantity", "unit_price")},
+        "total_amount": F.coalesce(F.col("_supplied_total"), q * u),
+        **parts,
+        "status": status, "reason": reason, "value": value, "detail": detail,
+        "poison_error": error, "total_was_computed": computed,
+        "computed_total": F.when(computed, q * u),
+    }
+    return coded.select(*[c.alias(n) for n, c in out.items()])
+
+
+def _opaque(c: Column) -> Column:
+    """Optimizer barrier on a parsed column.
+
+    Catalyst pushes a filter on a derived column (status, order_date, ...)
+    below the projections that compute it by inlining the whole parse tree
+    into the filter — even into a join below — so every parser would run
+    twice and the generated code would outgrow codegen limits. A filter is
+    never pushed through a projection with a nondeterministic field; this
+    guard is always true and costs one comparison per column and row. Filters
+    on pass-through columns (``source_file``) still reach the scan, since the
+    guarded fields are pruned away when nothing above needs them.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)
 
 
 def accepted(classified: DataFrame, *extra: str) -> DataFrame:

@@ -13,9 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks import write_orders_parquet
+from ..schemas import CLEAN, DEAD_LETTER
 from ..sources import catalog
-from ..schemas import DEAD_LETTER
 from .etl import run_etl
 from .ingest import Ingest, ingest
 
@@ -35,11 +34,13 @@ def run_flow(spark: SparkSession, landing: str, work_dir: str, database: str = "
     work = work_dir.rstrip("/")
     try:
         ing = ingest(spark, landing, multiline=multiline)
+        # Processed layer: the clean rows as they were published (not partitioned).
         processed = f"{work}/processed/orders"
-        write_orders_parquet(ing.published(), processed)
+        ing.published().write.mode("append").parquet(processed)
         ing.dead_letters(as_of=as_of).write.mode("append").parquet(f"{work}/dead_letters")
-        tables = {PROCESSED_TABLE: catalog.register_final_orders(
-            spark, f"{database}.{PROCESSED_TABLE}", processed)}
+        ing.release()
+        tables = {PROCESSED_TABLE: catalog.register_table(
+            spark, f"{database}.{PROCESSED_TABLE}", processed, "parquet", schema=CLEAN)}
         outputs = run_etl(spark, f"{database}.{PROCESSED_TABLE}", f"{work}/final_output")
         for name, path in outputs.items():
             table = f"{database}.final_{name}"

@@ -1,9 +1,11 @@
 """Batch ingest of a landing folder of raw order CSVs (the cleaner stage).
 
-``ingest`` plans the whole stage and materialises only the two small tables
-the gates need (per-file checks, per-segment stats) as checkpoints in the
-shared folder. The row-level outputs stay lazy DataFrames; each one is a scan
-of the raw files joined to those small tables:
+``ingest`` plans the whole stage and materialises the two small tables the
+gates need (per-file checks, per-segment stats) as checkpoints in the shared
+folder. The classified rows are persisted (memory, spilling to disk) while the
+outputs are written, so the raw CSV is parsed once; a lost block is recomputed
+from the files (row positions are deterministic). Pass ``persist=False`` to
+re-scan per output instead. Call ``release()`` when done.
 
     text scan ─► file_checks ─► (checkpoint) ─► header signatures
     CSV scan per signature ─► classify ─► segment stats ─► (checkpoint)
@@ -17,6 +19,7 @@ import os
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,6 +94,11 @@ class Ingest:
         return gates.logged_before_failure(numbered, self.outcomes, inclusive=True).select(
             "source_file", "row", "raw_order_id", "computed")
 
+    def release(self) -> None:
+        """Drop the persisted rows (outputs already written stay valid)."""
+        if self.classified is not None:
+            self.classified.unpersist()
+
     # ---- file outputs ------------------------------------------------------
     def metrics(self) -> DataFrame:
         """Per file that finished the row loop: rows_accepted, rows_skipped, size."""
@@ -127,7 +135,7 @@ def _clean_schema(with_source: bool) -> T.StructType:
 
 def ingest(spark: SparkSession, landing: str, multiline: bool = True,
            glob: str | None = "*.csv", text: DataFrame | None = None,
-           listed: list[str] | None = None) -> Ingest:
+           listed: list[str] | None = None, persist: bool = True) -> Ingest:
     """Plan the cleaner over every file under ``landing`` (or the given text frame).
 
     ``text``/``listed`` let the streaming source hand over one micro-batch.
@@ -148,6 +156,8 @@ def ingest(spark: SparkSession, landing: str, multiline: bool = True,
         offsets = spark.createDataFrame([], OFFSETS_SCHEMA)
     else:
         classified = classify(raw)
+        if persist:
+            classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
         offsets = gates.with_row_offsets(gates.segment_stats(classified)).checkpoint(eager=True)
     outcomes = gates.file_outcomes(offsets, checks).checkpoint(eager=True)
     return Ingest(spark, landing_q, checks, classified, offsets, outcomes)

@@ -114,10 +114,9 @@ def q_total_amount_fallback(spark, sf):
 
 
 def q_date_parts(spark, sf):
-    d = raw_orders(spark, sf).select(normalize_date("OrderDate").alias("order_date"))
-    parts = date_parts("order_date")
-    return d.where(F.col("order_date").isNotNull()).select(
-        "order_date", *[v.alias(k) for k, v in parts.items()])
+    # order_date, year, month and day are columns of the classified frame.
+    return (_classified(spark, sf).where(F.col("order_date").isNotNull())
+            .select("order_date", "year", "month", "day"))
 
 
 # ---- projection, filters, quality outputs on the row fixture ---------------

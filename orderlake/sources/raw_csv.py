@@ -151,12 +151,13 @@ def read_group(spark: SparkSession, group: SignatureGroup, multiline: bool = Tru
             present = fields > idx
             cols.append(F.when(present, F.coalesce(F.col(positional[idx]), F.lit("")))
                         .alias(name))
+    # Header-level absence is constant for the whole group: boolean literals.
     return df.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("mid"),
         *cols,
-        F.array(*[F.lit(a) for a in absent]).cast("array<string>").alias("_absent"))
+        *[F.lit(name in absent).alias(f"_absent_{name}") for name in RAW_COLUMNS])
 
 
 def scan_raw(spark: SparkSession, groups: list[SignatureGroup], multiline: bool = True) -> DataFrame | None:

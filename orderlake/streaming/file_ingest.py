@@ -50,6 +50,7 @@ def ingest_stream(spark: SparkSession, landing: str, out_root: str, checkpoint:
         _writer(ing.rejects(), "parquet").save(f"{out}/rejects/{part}")
         _writer(ing.metrics(), "parquet").save(f"{out}/metrics/{part}")
         _writer(ing.dead_letters(as_of=as_of), "parquet").save(f"{out}/dead_letters/{part}")
+        ing.release()
 
     trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
     q = (lines.writeStream.foreachBatch(per_batch)
