@@ -41,6 +41,7 @@ BANDS, ROWS = 40, 5
 SLOTS = BANDS * ROWS
 THRESHOLD = 0.8
 LEAST_AGREEMENT = 0.68  # of slots; at similarity 0.8 less has probability 2e-5
+CELLS = 2048  # of the counts that bound the overlap of two documents from above
 CENTRES = 8  # orders of the documents; each band takes its smallest member by one of them
 
 
@@ -102,6 +103,14 @@ def signatures(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int, s
     return out
 
 
+def cells(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int) -> np.ndarray:
+    """Shingle counts by CELLS classes of the hash, one byte each; a document
+    with a larger count has 255 everywhere, which bounds nothing."""
+    out = np.bincount(doc * CELLS + (key % U64(CELLS)).astype(np.int64), count, docs * CELLS).reshape(docs, CELLS)
+    out[out.max(1) >= 255] = 255
+    return out.astype(np.uint8)
+
+
 def _scan(docs: DataFrame) -> DataFrame:
     """doc_id, size, set_hash, bands, signature of each document."""
     def run(batches):
@@ -126,10 +135,11 @@ def _scan(docs: DataFrame) -> DataFrame:
                     "set_a": whole[:, 0].view(np.int64), "set_b": whole[:, 1].view(np.int64),
                     "bands": pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * BANDS,
                                                       pa.array(band.reshape(-1).view(np.int64))),
-                    "signature": [s.tobytes() for s in sign]})
+                    "signature": [s.tobytes() for s in sign],
+                    "cells": [c.tobytes() for c in cells(doc, key, count, n)]})
 
     rows = docs.select("doc_id", F.lower("text").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, size long, set_a long, set_b long, bands array<long>, signature binary")
+    return rows.mapInArrow(run, "doc_id long, size long, set_a long, set_b long, bands array<long>, signature binary, cells binary")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
@@ -188,11 +198,13 @@ def components(links: DataFrame) -> DataFrame:
 
 def _apart(members: DataFrame, threshold: float) -> DataFrame:
     """Pairs of one band whose classes differ and whose lengths and signatures
-    allow the threshold. members: band, hash, doc_id, class_id, size, signature."""
+    allow the threshold. members: band, hash, doc_id, class_id, size, signature,
+    cells (their common counts are at least the overlap)."""
     def run(key, table):
         rows = table.to_pandas().sort_values(["size", "doc_id"])
         doc, cls, size = (rows[c].to_numpy(np.int64) for c in ("doc_id", "class_id", "size"))
         sign = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), SLOTS)
+        cell = np.frombuffer(b"".join(rows["cells"]), np.uint8).reshape(len(rows), CELLS)
         out_a, out_b = [], []
         for i in range(len(doc) - 1):
             j = int(np.searchsorted(size, size[i] / threshold + 1e-9, "right"))
@@ -200,6 +212,8 @@ def _apart(members: DataFrame, threshold: float) -> DataFrame:
             other = other[cls[other] != cls[i]]
             if len(other):
                 other = other[(sign[other] == sign[i]).mean(1) >= LEAST_AGREEMENT]
+                least = threshold / (1 + threshold) * (size[i] + size[other]) - 1e-6
+                other = other[np.minimum(cell[other], cell[i]).sum(1, dtype=np.int64) >= least]
                 out_a += [doc[i]] * len(other)
                 out_b += doc[other].tolist()
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
@@ -219,7 +233,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     member = staged(signed.select("doc_id", *same).join(first, same).select("doc_id", "rep"), "members")
     reps = member.where("doc_id = rep").select("doc_id").distinct()
     signed = staged(signed.where("size > 0").join(reps, "doc_id").dropDuplicates(["doc_id"])
-                    .select("doc_id", "size", "bands", "signature"), "representatives")
+                    .select("doc_id", "size", "bands", "signature", "cells"), "representatives")
 
     banded = signed.select("doc_id", "size", F.posexplode("bands").alias("band", "hash"))
     # An order of the ids for each eighth of the bands: the smallest id after
@@ -238,8 +252,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
               .withColumn("class_id", F.coalesce("class_id", "doc_id")))
     open_groups = (placed.groupBy("band", "hash").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y"), F.count("*").alias("n"))
                    .where("x <> y and n > 2").select("band", "hash"))
-    members = (placed.join(open_groups, ["band", "hash"]).join(signed.select("doc_id", "size", "signature"), "doc_id")
-               .select("band", "hash", "doc_id", "class_id", "size", "signature"))
+    members = (placed.join(open_groups, ["band", "hash"]).join(signed.select("doc_id", "size", "signature", "cells"), "doc_id")
+               .select("band", "hash", "doc_id", "class_id", "size", "signature", "cells"))
     rest = _apart(members, threshold).join(stars, ["a", "b"], "left_anti")
     more = staged(_verified(staged(rest, "apart"), rows, threshold), "more-links")
     links = links.unionByName(more)
