@@ -75,7 +75,7 @@ def deep_shallow_sort(text: np.ndarray, starts: np.ndarray, length: int = LENGTH
     group = np.zeros(n, np.int64)  # of places that are still equal
     place = np.arange(n)
     shallow = min(shallow, length) // 8 * 8
-    for depth in range(0, shallow, 8):
+    for depth in range(0, shallow, 8) if n else ():
         value = _characters(padded, starts[order[place]] + depth)
         place, group = _split(order, new, place, group, value)
         if not len(place):
@@ -429,7 +429,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     chunks = max(partitions(spark), -(-size // CHUNK_BYTES))
     at = [k / chunks for k in range(1, chunks)]
     cuts = rows.agg(F.percentile_approx("doc_id", at, 20 * chunks)).first()[0] or []
-    splits = [-float("inf"), *sorted({float(c) + 0.5 for c in cuts if c < 1 << 52}), float("inf")]
+    splits = [-float("inf"), *(sorted({float(c) + 0.5 for c in cuts}) or [-1e300]), float("inf")]
     rows = Bucketizer(splits=splits, inputCol="number", outputCol="part").transform(
         rows.withColumn("number", F.col("doc_id").cast("double")))
     rows = rows.select(F.col("part").cast("int").alias("chunk"), "doc_id", "text")
