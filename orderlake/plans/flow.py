@@ -36,8 +36,10 @@ def run_flow(spark: SparkSession, landing: str, work_dir: str, database: str = "
         ing = ingest(spark, landing, multiline=multiline)
         # Processed layer: the clean rows as they were published (not partitioned).
         processed = f"{work}/processed/orders"
-        ing.published().write.mode("append").parquet(processed)
-        ing.dead_letters(as_of=as_of).write.mode("append").parquet(f"{work}/dead_letters")
+        # Every run reads the whole landing folder, so it replaces what an
+        # earlier or failed run left: running again never doubles a row.
+        ing.published().write.mode("overwrite").parquet(processed)
+        ing.dead_letters(as_of=as_of).write.mode("overwrite").parquet(f"{work}/dead_letters")
         ing.release()
         tables = {PROCESSED_TABLE: catalog.register_table(
             spark, f"{database}.{PROCESSED_TABLE}", processed, "parquet", schema=CLEAN)}
@@ -53,7 +55,7 @@ def run_flow(spark: SparkSession, landing: str, work_dir: str, database: str = "
         return FlowResult(ing, processed, outputs, tables)
     except Exception as exc:
         record = (spark.createDataFrame([(landing, None, str(exc), None, None)], DEAD_LETTER)
-                  .withColumn("timestamp", F.localtimestamp())
+                  .withColumn("timestamp", F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))
                   .withColumn("source_file", F.lit(landing)))
         record.write.mode("append").parquet(f"{work}/dead_letters")
         raise

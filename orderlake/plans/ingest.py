@@ -109,7 +109,7 @@ class Ingest:
     def dead_letters(self, as_of=None, request_id: str | None = None) -> DataFrame:
         """One message per failed file: bucket, key, error, timestamp, request_id."""
         ts = (F.lit(as_of).cast("timestamp_ntz") if as_of is not None
-              else F.localtimestamp())
+              else F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))
         prefix = self.landing + "/"
         key = F.when(F.col("source_file").startswith(prefix),
                      F.substring("source_file", len(prefix) + 1, 1 << 30)

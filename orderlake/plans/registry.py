@@ -53,7 +53,7 @@ def _clean(spark: SparkSession, sf: str) -> DataFrame:
 
 def _files(spark: SparkSession, sf: str) -> Ingest:
     """Ingest of the staged fixture files, planned once per session."""
-    key = (sf.rstrip("/"), id(spark.sparkContext))
+    key = (sf.rstrip("/"), spark.sparkContext.applicationId)
     if key not in _INGESTS:
         _INGESTS[key] = ingest(spark, stage_raw_files(spark, sf))
     return _INGESTS[key]
@@ -64,7 +64,7 @@ _FINAL: dict[tuple, str] = {}
 
 def _final_orders(spark: SparkSession, sf: str) -> str:
     """The date-partitioned orders dataset, written once per session."""
-    key = (sf.rstrip("/"), id(spark.sparkContext))
+    key = (sf.rstrip("/"), spark.sparkContext.applicationId)
     if key not in _FINAL:
         path = unique_path(spark, "final-orders")
         write_orders_parquet(_clean(spark, sf), path)

@@ -9,6 +9,7 @@ broadcast threshold) are left to the cluster unless a builder is created here.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -86,6 +87,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if cur:
             root = cur.rstrip("/").rsplit("/", 1)[0]
     if not root:
+        if not re.match(r"local($|\[)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="orderlake-ckpt-")
         root = _LOCAL_ROOT

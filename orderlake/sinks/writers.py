@@ -28,9 +28,6 @@ CSV_WRITE_OPTIONS = {
 
 DATE_PARTITIONS = ("year", "month", "day")
 
-# Rollups up to this many rows are written as one ranked file, like the reference.
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
 
 def write_clean_csv(clean: DataFrame, path: str, mode: str = "append") -> str:
     """Clean rows as CSV with a header; Spark part names never collide."""
@@ -38,21 +35,21 @@ def write_clean_csv(clean: DataFrame, path: str, mode: str = "append") -> str:
     return path
 
 
-def _ranked_output(rollup: DataFrame, single_file_max_rows: int) -> DataFrame:
-    if rollup.count() <= single_file_max_rows:
-        return rollup.coalesce(1)
-    return rollup  # sorted plan: range-partitioned, part files in rank order
+def _ranked_output(rollup: DataFrame, single_file: bool) -> DataFrame:
+    """Range-partitioned part files in rank order, or one file where the
+    caller asks for it (the caller's choice, never that of a counted size)."""
+    return rollup.coalesce(1) if single_file else rollup
 
 
 def write_rollup_csv(rollup: DataFrame, path: str,
-                     single_file_max_rows: int = SINGLE_FILE_MAX_ROWS) -> str:
-    _ranked_output(rollup, single_file_max_rows).write.mode("overwrite") \
+                     single_file: bool = False) -> str:
+    _ranked_output(rollup, single_file).write.mode("overwrite") \
         .options(**CSV_WRITE_OPTIONS).csv(path)
     return path
 
 
 def write_rollup_parquet(rollup: DataFrame, path: str,
-                         single_file_max_rows: int = SINGLE_FILE_MAX_ROWS) -> str:
+                         single_file: bool = False) -> str:
     """Rollup under the folders year=all/month=all/day=all.
 
     The labels are constant, so the folder is named directly: a partitioned
@@ -60,7 +57,7 @@ def write_rollup_parquet(rollup: DataFrame, path: str,
     the rank order inside the file.
     """
     folder = "/".join([path.rstrip("/")] + [f"{p}={PARTITION_LABEL}" for p in DATE_PARTITIONS])
-    _ranked_output(rollup, single_file_max_rows).write.mode("overwrite").parquet(folder)
+    _ranked_output(rollup, single_file).write.mode("overwrite").parquet(folder)
     return path
 
 

@@ -145,7 +145,7 @@ def stage_raw_files(spark: SparkSession, sf_dir: str, where: Column | None = Non
         if where is not None:
             frame = frame.where(where)
         return write_raw_files(frame, path or unique_path(spark, "raw-part"))
-    key = (sf_dir.rstrip("/"), id(spark.sparkContext))
+    key = (sf_dir.rstrip("/"), spark.sparkContext.applicationId)
     if key not in _STAGED:
         _STAGED[key] = write_raw_files(frame, unique_path(spark, "raw-all"))
     return _STAGED[key]

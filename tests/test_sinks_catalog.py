@@ -81,3 +81,27 @@ def test_schema_discovery_and_evolution(spark, sf):
         list(schema.fields) + [T.StructField("channel", T.StringType())]))
     assert added == ["channel"]
     assert "channel" in spark.table(table).columns
+
+
+def test_run_flow_twice_gives_the_same(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from orderlake.plans.flow import read_dead_letters, run_flow
+
+    head = "OrderID,CustomerEmail,Country,Product,Quantity,UnitPrice,OrderDate,TotalAmount\n"
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text(head + "1,a@b.com,Peru,Pen,2,1.5,2024-01-02,3.0\n")
+    (landing / "bad.csv").write_text(head + "x,a@b.com,Peru,Pen,2,1.5,2024-01-02,3.0\n")
+
+    def run():
+        out = run_flow(spark, str(landing), str(tmp_path / "work"), database="flow_twice")
+        rows = spark.read.parquet(out.processed_path)
+        return rows.count(), rows.agg(F.sum("quantity")).first()[0], read_dead_letters(spark, str(tmp_path / "work")).count()
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS flow_twice")
+    first = run()
+    assert first[0] == 1 and first[2] == 1
+    assert run() == first
+    (landing / "c.csv").write_text(head + "2,c@d.com,Peru,Pen,1,1.5,2024-01-03,1.5\n")
+    assert run()[0] == 2
