@@ -70,7 +70,6 @@ def main() -> None:
         _noop(ing.published())
         ing.rejects().count()
         ing.dead_letters().count()
-        ing.release()
     timed("csv_ingest_gated", csv_ingest)
     timed("orders_parquet_write", lambda: write_orders_parquet(clean(), unique_path(spark, "bench-orders")))
     timed("dead_letter_alarm", lambda: monitor.backlog_alarm(

@@ -1,6 +1,6 @@
 """Column → Column building blocks of the cleaner; all JVM-side built-ins."""
 
-from .dates import (date_fields, date_from_fields, date_from_stripped, date_parts, iso_date,
+from .dates import (date_fields, date_from_fields, date_from_stripped, date_parts,
                     normalize_date)
 from .encode import json_record
 from .numbers import (float_from_stripped, int_from_stripped, parse_float, parse_int,
@@ -10,7 +10,7 @@ from .strings import (UNKNOWN_EMAIL, email_from_stripped, normalize_country, nor
 
 __all__ = [
     "UNKNOWN_EMAIL", "date_fields", "date_from_fields", "date_from_stripped", "email_from_stripped", "float_from_stripped",
-    "int_from_stripped", "date_parts", "iso_date", "json_record", "normalize_country",
+    "int_from_stripped", "date_parts", "json_record", "normalize_country",
     "normalize_date", "normalize_email", "normalize_product", "parse_float",
     "parse_int", "py_repr", "pytrim", "total_with_fallback",
 ]

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from .strings import _col, pytrim
 
-# The accepted layouts, in the order the reference tries them.
-DATE_LAYOUTS = ("%Y-%m-%d", "%d/%m/%Y", "%Y/%m/%d")
-
 # Day field as strptime's %d reads it: one or two digits, or a blank and one
 # digit. Year: exactly four digits. Month: one or two digits.
 # Groups: 1 year, 2 separator, 3 month, 4|5 day  (year-first layouts, same separator)
@@ -69,10 +66,6 @@ def date_from_stripped(t: Column) -> Column:
     return date_from_fields(f["shape_ok"], f["y"], f["m"], f["d"])
 
 
-def iso_date(c) -> Column:
-    return F.date_format(_col(c), "yyyy-MM-dd")
-
-
 def date_parts(c) -> dict[str, Column]:
     """year as int, month and day as two-character strings."""
     d = _col(c)

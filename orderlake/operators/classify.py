@@ -49,6 +49,15 @@ NONE_FLOAT_ERROR = "float() argument must be a string or a real number, not 'Non
 
 ACCEPTED, REJECTED, POISON = "accepted", "rejected", "poison"
 
+
+def error_type(error: Column) -> Column:
+    """The type of the exception that carries a file's error text."""
+    return (F.when(error.startswith("'utf-8' codec"), F.lit("UnicodeDecodeError"))
+            .when(error == NONE_STRIP_ERROR, F.lit("AttributeError"))
+            .when(error.isin(NONE_INT_ERROR, NONE_FLOAT_ERROR), F.lit("TypeError"))
+            .when(error.isin(*[f"'{n}'" for n in RAW_COLUMNS]), F.lit("KeyError"))
+            .when(error.isNotNull(), F.lit("ValueError")))
+
 OUTCOME_COLUMNS = ("status", "reason", "value", "detail", "poison_error", "total_was_computed",
                    "computed_total")
 
@@ -79,9 +88,8 @@ def classify(raw: DataFrame) -> DataFrame:
     """Wide frame: passthrough + clean columns + outcome columns.
 
     Separate projections strip, parse, compute an integer outcome code and
-    derive the texts from it. Each refers to the previous one's columns, so
-    every generated method stays small enough for whole-stage codegen and
-    the JIT.
+    derive the texts from it, each referring to the previous one's columns,
+    so no parser runs twice.
     """
     c = {n: F.col(n) for n in RAW_COLUMNS}
     none = {n: c[n].isNull() for n in RAW_COLUMNS}
@@ -193,9 +201,9 @@ def _opaque(c: Column) -> Column:
     into the filter — even into a join below — so every parser would run
     twice and the generated code would outgrow codegen limits. A filter is
     never pushed through a projection with a nondeterministic field; this
-    guard is always true and costs one comparison per row. Filters on
-    pass-through columns (``source_file``) still reach the scan, since the
-    guarded fields are pruned away when nothing above needs them.
+    guard is always true and costs one comparison per row. Where a guarded
+    column is selected, no filter passes it, not even one on pass-through
+    columns: filter those before ``classify``.
     """
     return F.when(F.spark_partition_id() >= 0, c)
 
@@ -203,14 +211,3 @@ def _opaque(c: Column) -> Column:
 def accepted(classified: DataFrame, *extra: str) -> DataFrame:
     """Rows that pass every check, as the 11 clean columns (+ ``extra``)."""
     return classified.where(F.col("status") == ACCEPTED).select(*extra, *CLEAN_COLUMNS)
-
-
-def rejected(classified: DataFrame, *extra: str) -> DataFrame:
-    return (classified.where(F.col("status") == REJECTED)
-            .select(*extra, "reason", "value", "detail"))
-
-
-def repaired(classified: DataFrame, *extra: str) -> DataFrame:
-    """Rows whose total was computed as quantity * unit_price."""
-    return (classified.where(F.col("total_was_computed"))
-            .select(*extra, F.col("computed_total").alias("computed")))

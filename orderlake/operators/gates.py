@@ -1,18 +1,19 @@
 """File-level gates: a raw file is published whole or not at all.
 
-Everything here works on a small per-segment table instead of the rows: a
-segment is the rows of one file read by one task (``source_file``,
-``block_start``), so the table has at most one row per input split. It is
-built with one partial aggregation over the classified rows (no shuffle of
-rows, no skew even when one file holds a third of the data), written as a
-checkpoint in the shared folder, and then gives:
+Everything here works on the classified rows as they were written once to the
+shared folder, and on a small per-segment table derived from them: a segment
+is the rows of one file read by one task (``source_file``, ``block_start``),
+so the table has at most one row per input split. It is built with one hash
+aggregation over numbers (no shuffle of rows, no skew even when one file holds
+a third of the data) and then gives:
 
 * the file outcomes (poison, no valid rows, header failures) — dead letters;
 * the row number of any row in its file (the reference numbers rows from 1);
-* the list of failed files that is anti-joined away from the clean rows.
+* which rows belong to failed files.
 
-Joins against these tables broadcast them only after their row count is
-known; beyond the bound they are ordinary shuffle joins (AQE splits skew).
+Rows meet this table by segment, never by file, so no join key is larger than
+one input split. The table is a Parquet folder of known size; the planner
+alone decides whether to broadcast it.
 """
 
 from __future__ import annotations
@@ -25,19 +26,18 @@ from .classify import ACCEPTED, POISON, REJECTED
 # Fixed value: the reference's error for a file without one accepted row.
 NO_VALID_ROWS_ERROR = "No valid rows found after cleaning"
 
-# Tables at or under this many rows are broadcast (a segment row is ~100 B).
-BROADCAST_MAX_ROWS = 2_000_000
+SEGMENT = ["source_file", "block_start"]
 
 
 def segment_stats(classified: DataFrame) -> DataFrame:
+    """Numbers only, so the aggregation is by hash and sorts nothing."""
     st = F.col("status")
-    return classified.groupBy("source_file", "block_start").agg(
+    return classified.groupBy(*SEGMENT).agg(
         F.min("mid").alias("first_mid"),
         F.count(F.lit(1)).alias("rows"),
         F.count_if(st == ACCEPTED).alias("accepted"),
         F.count_if(st == REJECTED).alias("skipped"),
-        F.min(F.when(st == POISON, F.struct(F.col("mid"), F.col("poison_error"))))
-         .alias("first_poison"))
+        F.min(F.when(st == POISON, F.col("mid"))).alias("poison_mid"))
 
 
 def with_row_offsets(segments: DataFrame) -> DataFrame:
@@ -51,71 +51,60 @@ def with_row_offsets(segments: DataFrame) -> DataFrame:
     return segments.withColumn("rows_before", F.coalesce(F.sum("rows").over(w), F.lit(0)))
 
 
-def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only when its counted size is within the bound.
-
-    Callers pass a materialised (checkpointed) frame, so the count is cheap.
-    """
-    return F.broadcast(small) if small.count() <= max_rows else small
-
-
-def number_rows(rows: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Add ``row``: 1-based position of each row inside its file."""
-    o = offsets.select("source_file", "block_start", "first_mid", "rows_before")
-    return (rows.join(sized_broadcast(o), ["source_file", "block_start"])
-            .withColumn("row", F.col("rows_before") + F.col("mid") - F.col("first_mid") + 1)
-            .drop("first_mid", "rows_before"))
+def _row(mid: str):
+    return F.col("rows_before") + F.col(mid) - F.col("first_mid") + 1
 
 
-def file_outcomes(offsets: DataFrame, checks: DataFrame) -> DataFrame:
+def file_outcomes(offsets: DataFrame, poison: DataFrame, checks: DataFrame) -> DataFrame:
     """One row per listed file with its counts, first poison row and error.
 
-    Error precedence follows the reference: decoding and header problems
-    first, then the first poison row in file order, then no valid rows.
+    ``poison``: the poisoning rows (segment, mid, poison_error). Error
+    precedence follows the reference: decoding and header problems first,
+    then the first poison row in file order, then no valid rows.
     """
-    seg = offsets.withColumn(
-        "_poison", F.when(F.col("first_poison").isNotNull(), F.struct(
-            F.col("block_start"),
-            (F.col("rows_before") + F.col("first_poison.mid") - F.col("first_mid") + 1).alias("row"),
-            F.col("first_poison.poison_error").alias("error"))))
-    per_file = seg.groupBy("source_file").agg(
+    per_file = offsets.groupBy("source_file").agg(
         F.sum("accepted").alias("rows_accepted"),
         F.sum("skipped").alias("rows_skipped"),
         F.sum("rows").alias("rows_read"),
-        F.min("_poison").alias("_poison"))
-    joined = checks.select("source_file", "file_size", F.col("error").alias("check_error")).join(
-        per_file, "source_file", "left")
+        F.min(_row("poison_mid")).alias("poison_row"))
+    # The text of a segment's first poison row; at most one row per segment.
+    texts = (poison.withColumnRenamed("mid", "poison_mid").join(offsets, [*SEGMENT, "poison_mid"])
+             .select("source_file", _row("poison_mid").alias("poison_row"), "poison_error"))
+    joined = (checks.select("source_file", "file_size", F.col("error").alias("check_error"))
+              .join(per_file, "source_file", "left")
+              .join(texts, ["source_file", "poison_row"], "left"))
     zero = F.lit(0).cast("long")
     error = (F.when(F.col("check_error").isNotNull(), F.col("check_error"))
-             .when(F.col("_poison").isNotNull(), F.col("_poison.error"))
+             .when(F.col("poison_row").isNotNull(), F.col("poison_error"))
              .when(F.coalesce(F.col("rows_accepted"), zero) == 0, F.lit(NO_VALID_ROWS_ERROR)))
     return joined.select(
         "source_file", "file_size",
         F.coalesce("rows_accepted", zero).alias("rows_accepted"),
         F.coalesce("rows_skipped", zero).alias("rows_skipped"),
         F.coalesce("rows_read", zero).alias("rows_read"),
-        F.col("_poison.row").alias("poison_row"),
+        "poison_row",
         error.alias("error"))
 
 
-def failed_files(outcomes: DataFrame) -> DataFrame:
-    return outcomes.where(F.col("error").isNotNull()).select("source_file")
+def segments_with_outcome(offsets: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Per segment: what numbering and gating its rows needs."""
+    return offsets.select(*SEGMENT, "first_mid", "rows_before").join(
+        outcomes.select("source_file", "poison_row", F.col("error").isNotNull().alias("failed")),
+        "source_file")
 
 
-def publishable(classified: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Accepted rows of files that did not fail (anti-join on the failed list)."""
-    failed = failed_files(outcomes)
-    return (classified.where(F.col("status") == ACCEPTED)
-            .join(sized_broadcast(failed), "source_file", "left_anti"))
+def publishable(classified: DataFrame, segments: DataFrame) -> DataFrame:
+    """Accepted rows of files that did not fail."""
+    good = segments.where(~F.col("failed")).select(*SEGMENT)
+    return classified.where(F.col("status") == ACCEPTED).join(good, SEGMENT, "left_semi")
 
 
-def logged_before_failure(rows_with_row: DataFrame, outcomes: DataFrame,
+def logged_before_failure(rows: DataFrame, segments: DataFrame,
                           inclusive: bool = False) -> DataFrame:
-    """Row events the reference logs: those before the file's poison row
-    (``inclusive``: and on it). Processing stops there; later rows are never seen.
+    """Add ``row`` (1-based position in the file) and keep the row events the
+    reference logs: those before the file's poison row (``inclusive``: and on
+    it). Processing stops there; later rows are never seen.
     """
-    stop = outcomes.where(F.col("poison_row").isNotNull()).select("source_file", "poison_row")
+    numbered = rows.join(segments, SEGMENT).withColumn("row", _row("mid"))
     before = (F.col("row") <= F.col("poison_row")) if inclusive else (F.col("row") < F.col("poison_row"))
-    return (rows_with_row.join(sized_broadcast(stop), "source_file", "left")
-            .where(F.col("poison_row").isNull() | before)
-            .drop("poison_row"))
+    return numbered.where(F.col("poison_row").isNull() | before)

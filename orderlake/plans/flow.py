@@ -3,7 +3,7 @@
 Spark calls are synchronous, so the orchestration is a plain function. Any
 failure is recorded as a dead letter row (with the error text) and re-raised,
 like the reference's failure branch; no state is left half-registered because
-tables are (re)created only after their data is written.
+tables are registered only after their data is written.
 """
 
 from __future__ import annotations
@@ -30,17 +30,16 @@ class FlowResult:
 
 
 def run_flow(spark: SparkSession, landing: str, work_dir: str, database: str = "orderlake",
-             as_of=None, multiline: bool = True) -> FlowResult:
+             as_of=None) -> FlowResult:
     work = work_dir.rstrip("/")
     try:
-        ing = ingest(spark, landing, multiline=multiline)
+        ing = ingest(spark, landing)
         # Processed layer: the clean rows as they were published (not partitioned).
         processed = f"{work}/processed/orders"
         # Every run reads the whole landing folder, so it replaces what an
         # earlier or failed run left: running again never doubles a row.
         ing.published().write.mode("overwrite").parquet(processed)
         ing.dead_letters(as_of=as_of).write.mode("overwrite").parquet(f"{work}/dead_letters")
-        ing.release()
         tables = {PROCESSED_TABLE: catalog.register_table(
             spark, f"{database}.{PROCESSED_TABLE}", processed, "parquet", schema=CLEAN)}
         outputs = run_etl(spark, f"{database}.{PROCESSED_TABLE}", f"{work}/final_output")
@@ -54,9 +53,9 @@ def run_flow(spark: SparkSession, landing: str, work_dir: str, database: str = "
                     partitioned_by=("year", "month", "day"))
         return FlowResult(ing, processed, outputs, tables)
     except Exception as exc:
-        record = (spark.createDataFrame([(landing, None, str(exc), None, None)], DEAD_LETTER)
-                  .withColumn("timestamp", F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))
-                  .withColumn("source_file", F.lit(landing)))
+        record = (spark.createDataFrame(
+            [(landing, None, landing, str(exc), type(exc).__name__, None, None)], DEAD_LETTER)
+            .withColumn("timestamp", F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())))
         record.write.mode("append").parquet(f"{work}/dead_letters")
         raise
 

@@ -1,16 +1,15 @@
 """Batch ingest of a landing folder of raw order CSVs (the cleaner stage).
 
-``ingest`` plans the whole stage and materialises the two small tables the
-gates need (per-file checks, per-segment stats) as checkpoints in the shared
-folder. The classified rows are persisted (memory, spilling to disk) while the
-outputs are written, so the raw CSV is parsed once; a lost block is recomputed
-from the files (row positions are deterministic). Pass ``persist=False`` to
-re-scan per output instead. Call ``release()`` when done.
-
-    text scan ─► file_checks ─► (checkpoint) ─► header signatures
-    CSV scan per signature ─► classify ─► segment stats ─► (checkpoint)
-                                 │                            │
-                                 └──► published / rejects / repairs ◄─┘
+``ingest`` parses the raw CSV once and writes the classified rows, with their
+position in the split they were read from, to the shared folder; the per-file
+checks, the per-segment table and the outcomes are written there too. Every
+output is derived from these tables. The raw files are never planned again, so
+row numbers do not depend on how a later scan would be split.
+
+    text scan ─► file_checks ─► header signatures
+    CSV scan per signature ─► classify ─► classified rows (written once)
+                                             │
+             segments, outcomes ◄────────────┴──► published / rejects / repairs
 """
 
 from __future__ import annotations
@@ -19,37 +18,22 @@ import os
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import gates
-from ..operators.classify import REJECTED, classify
+from ..operators.classify import POISON, REJECTED, classify, error_type
 from ..schemas import CLEAN_COLUMNS
-from ..session import ensure_conf
+from ..session import ensure_conf, staged
 from ..sources import raw_csv
 
 # Fixed value: the reference's success message.
 SUCCESS_MESSAGE = "File processed successfully"
 
-OFFSETS_SCHEMA = T.StructType([
-    T.StructField("source_file", T.StringType()),
-    T.StructField("block_start", T.LongType()),
-    T.StructField("first_mid", T.LongType()),
-    T.StructField("rows", T.LongType()),
-    T.StructField("accepted", T.LongType()),
-    T.StructField("skipped", T.LongType()),
-    T.StructField("first_poison", T.StructType([
-        T.StructField("mid", T.LongType()), T.StructField("poison_error", T.StringType())])),
-    T.StructField("rows_before", T.LongType()),
-])
-
-
 def qualify(path: str) -> str:
     """Local paths as Spark reports them (``file:/abs``); URIs unchanged."""
     if "://" in path or path.startswith("file:"):
-        return raw_csv._normalize_path(path).rstrip("/")
+        return raw_csv.normalize_path(path).rstrip("/")
     return "file:" + os.path.abspath(path).rstrip("/")
 
 
@@ -58,47 +42,32 @@ class Ingest:
     spark: SparkSession
     landing: str
     checks: DataFrame
-    classified: DataFrame | None
-    offsets: DataFrame
+    classified: DataFrame
+    segments: DataFrame
     outcomes: DataFrame
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     # ---- row outputs -------------------------------------------------------
     def published(self, with_source: bool = False) -> DataFrame:
         """Clean rows of the files that did not fail."""
-        if self.classified is None:
-            return self.spark.createDataFrame([], _clean_schema(with_source))
         extra = ["source_file"] if with_source else []
-        return gates.publishable(self.classified, self.outcomes).select(*extra, *CLEAN_COLUMNS)
+        return gates.publishable(self.classified, self.segments).select(*extra, *CLEAN_COLUMNS)
 
     def rejects(self) -> DataFrame:
         """source_file, row, reason, value, detail, raw_order_id."""
-        if self.classified is None:
-            return self.spark.createDataFrame([], "source_file string, row long, reason string, "
-                                              "value string, detail string, raw_order_id string")
         rows = self.classified.where(F.col("status") == REJECTED).select(
             "source_file", "block_start", "mid", "reason", "value", "detail", "raw_order_id")
-        numbered = gates.number_rows(rows, self.offsets)
-        return gates.logged_before_failure(numbered, self.outcomes).select(
+        return gates.logged_before_failure(rows, self.segments).select(
             "source_file", "row", "reason", "value", "detail", "raw_order_id")
 
     def repairs(self) -> DataFrame:
         """Rows whose total was computed (source_file, row, order_id, computed)."""
-        if self.classified is None:
-            return self.spark.createDataFrame([], "source_file string, row long, raw_order_id string, "
-                                              "computed double")
         rows = self.classified.where(F.col("total_was_computed")).select(
             "source_file", "block_start", "mid", "raw_order_id",
             F.col("computed_total").alias("computed"))
-        numbered = gates.number_rows(rows, self.offsets)
-        return gates.logged_before_failure(numbered, self.outcomes, inclusive=True).select(
+        return gates.logged_before_failure(rows, self.segments, inclusive=True).select(
             "source_file", "row", "raw_order_id", "computed")
 
-    def release(self) -> None:
-        """Drop the persisted rows (outputs already written stay valid)."""
-        if self.classified is not None:
-            self.classified.unpersist()
-
     # ---- file outputs ------------------------------------------------------
     def metrics(self) -> DataFrame:
         """Per file that finished the row loop: rows_accepted, rows_skipped, size."""
@@ -107,17 +76,8 @@ class Ingest:
                 .select("source_file", "rows_accepted", "rows_skipped", "file_size"))
 
     def dead_letters(self, as_of=None, request_id: str | None = None) -> DataFrame:
-        """One message per failed file: bucket, key, error, timestamp, request_id."""
-        ts = (F.lit(as_of).cast("timestamp_ntz") if as_of is not None
-              else F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))
-        prefix = self.landing + "/"
-        key = F.when(F.col("source_file").startswith(prefix),
-                     F.substring("source_file", len(prefix) + 1, 1 << 30)
-                     ).otherwise(F.col("source_file"))
-        return (self.outcomes.where(F.col("error").isNotNull())
-                .select(F.lit(self.landing).alias("bucket"), key.alias("key"),
-                        F.col("source_file"), "error", ts.alias("timestamp"),
-                        F.lit(request_id or self.run_id).alias("request_id")))
+        """One message per failed file: bucket, key, error, its type, timestamp, request_id."""
+        return dead_letters(self.outcomes, self.landing, as_of, request_id or self.run_id)
 
     def run_summary(self, output_key: str | None = None) -> DataFrame:
         """Per published file: message, output_key, rows_written."""
@@ -127,37 +87,35 @@ class Ingest:
                         F.col("rows_accepted").alias("rows_written")))
 
 
-def _clean_schema(with_source: bool) -> T.StructType:
-    from ..schemas import CLEAN
-    fields = ([T.StructField("source_file", T.StringType())] if with_source else []) + list(CLEAN.fields)
-    return T.StructType(fields)
-
-
-def ingest(spark: SparkSession, landing: str, multiline: bool = True,
-           glob: str | None = "*.csv", text: DataFrame | None = None,
-           listed: list[str] | None = None, persist: bool = True) -> Ingest:
-    """Plan the cleaner over every file under ``landing`` (or the given text frame).
-
-    ``text``/``listed`` let the streaming source hand over one micro-batch.
-    """
+def dead_letters(outcomes: DataFrame, landing: str, as_of=None, request_id: str | None = None) -> DataFrame:
+    """Messages (schema ``DEAD_LETTER``) of the files with an error."""
+    ts = (F.lit(as_of).cast("timestamp_ntz") if as_of is not None
+          else F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))
+    prefix = landing + "/"
+    key = F.when(F.col("source_file").startswith(prefix),
+                 F.substring("source_file", len(prefix) + 1, 1 << 30)
+                 ).otherwise(F.col("source_file"))
+    return (outcomes.where(F.col("error").isNotNull())
+            .select(F.lit(landing).alias("bucket"), key.alias("key"), "source_file", "error",
+                    error_type(F.col("error")).alias("error_type"), ts.alias("timestamp"),
+                    F.lit(request_id).cast("string").alias("request_id")))
+
+
+def ingest(spark: SparkSession, landing: str, glob: str | None = "*.csv",
+           text: DataFrame | None = None) -> Ingest:
+    """Run the cleaner over every file under ``landing``, or over the files of
+    ``text`` (one micro-batch of the streaming source, which reports zero-byte
+    files itself)."""
     ensure_conf(spark)
-    landing_q = qualify(landing)
     if text is None:
-        text = raw_csv.raw_text(spark, landing, glob)
-        listed = text.inputFiles() if listed is None else listed
-    checks = raw_csv.file_checks(text)
-    if listed:
-        checks = checks.unionByName(raw_csv.empty_files(spark, listed, checks))
-    checks = checks.checkpoint(eager=True)
-    groups = raw_csv.signature_groups(checks)
-    raw = raw_csv.scan_raw(spark, groups, multiline)
-    if raw is None:
-        classified = None
-        offsets = spark.createDataFrame([], OFFSETS_SCHEMA)
+        lines = staged(raw_csv.file_checks(raw_csv.raw_text(spark, landing, glob)), "file-checks")
+        checks = lines.unionByName(raw_csv.empty_files(spark, landing, lines, glob))
     else:
-        classified = classify(raw)
-        if persist:
-            classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
-        offsets = gates.with_row_offsets(gates.segment_stats(classified)).checkpoint(eager=True)
-    outcomes = gates.file_outcomes(offsets, checks).checkpoint(eager=True)
-    return Ingest(spark, landing_q, checks, classified, offsets, outcomes)
+        lines = checks = staged(raw_csv.file_checks(text), "file-checks")
+    raw = raw_csv.scan_raw(spark, raw_csv.signature_groups(lines))
+    classified = staged(classify(raw), "classified")
+    offsets = staged(gates.with_row_offsets(gates.segment_stats(classified)), "offsets")
+    poison = classified.where(F.col("status") == POISON).select(*gates.SEGMENT, "mid", "poison_error")
+    outcomes = staged(gates.file_outcomes(offsets, poison, checks), "outcomes")
+    segments = staged(gates.segments_with_outcome(offsets, outcomes), "segments")
+    return Ingest(spark, qualify(landing), checks, classified, segments, outcomes)

@@ -201,7 +201,30 @@ SELECT 'orders' AS table_name, col_name, data_type, ordinal FROM (
   UNION ALL SELECT 'day', 'int', 10
 ) t""")
 
+DEAD = ("SELECT file_no, true AS in_bucket, 'file_no=' || CAST(file_no AS VARCHAR) AS key_folder, "
+        "{fields} FROM file_outcome WHERE error IS NOT NULL")
+
+DISCOVER_PARQUET = with_fixture("""
+SELECT 'final_orders' AS table_name, col_name, data_type, CAST(ordinal AS INTEGER) AS ordinal
+FROM (SELECT count(*) AS n FROM clean_all) rows, (VALUES
+  ('order_id', 'bigint', 0), ('order_date', 'date', 1), ('customer_email', 'string', 2),
+  ('country', 'string', 3), ('product', 'string', 4), ('quantity', 'bigint', 5),
+  ('unit_price', 'double', 6), ('total_amount', 'double', 7), ('year', 'string', 8),
+  ('month', 'string', 9), ('day', 'string', 10)) t(col_name, data_type, ordinal)
+WHERE n > 0""")
+
 ORACLES: dict[str, str] = {
+    "discover_schema_parquet": DISCOVER_PARQUET,
+    "schema_evolution": with_fixture(
+        "SELECT CAST(year AS VARCHAR) AS year, count(*) AS rows, count(country) AS with_country, "
+        "count(DISTINCT country) AS countries FROM clean_all GROUP BY 1"),
+    "dead_letters_json": with_files(DEAD.format(
+        fields="error, '2024-02-01T00:00:00.000000+00:00' AS timestamp, "
+               "'orderlake-check' AS request_id")),
+    # Both errors of the fixture (a bad OrderID, no accepted row) are value errors.
+    "failure_alerts": with_files(DEAD.format(fields="'ValueError' AS error, error AS cause")),
+    "pipeline_end_to_end": with_files(
+        f"SELECT *, {LABELS} FROM ({MARKET.format(src=PUBLISHED + ' p')})"),
     "discover_schema": DISCOVER,
     "scan_raw_csv": with_files(
         'SELECT file_no, "OrderID", "OrderDate", "CustomerEmail", "Country", "Product", '

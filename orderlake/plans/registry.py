@@ -13,12 +13,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import (date_parts, normalize_country, normalize_date, normalize_email,
                          normalize_product, parse_float, parse_int, total_with_fallback)
 from ..operators import monitor, rollups
 from ..operators.classify import ACCEPTED, accepted, classify
-from ..schemas import CLEAN, CLEAN_COLUMNS, RAW_COLUMNS
+from ..schemas import CLEAN, CLEAN_COLUMNS, FINAL_ORDERS, RAW_COLUMNS
 from ..session import ensure_conf, unique_path
 from ..sinks import (write_clean_csv, write_orders_parquet, write_rollup_csv,
                      write_rollup_parquet)
@@ -214,12 +215,23 @@ def q_dead_letters(spark, sf):
     return _dead(spark, sf).select(_file_no(), "error", "timestamp", "request_id")
 
 
+def _parsed(payload: str, fields: str):
+    """A JSON payload as columns; the landing folder, a scratch path, is cut
+    from the bucket, and the key is reduced to its folder."""
+    body = F.from_json(payload, f"bucket string, key string, {fields}")
+    return [_file_no(), F.col("source_file").startswith(body["bucket"]).alias("in_bucket"),
+            F.regexp_extract(body["key"], "^(file_no=[0-9]+)/", 1).alias("key_folder"),
+            *[body[f.split()[0]].alias(f.split()[0]) for f in fields.split(", ")]]
+
+
 def q_dead_letters_json(spark, sf):
-    return monitor.dead_letter_json(_dead(spark, sf)).select(_file_no(), "body")
+    return monitor.dead_letter_json(_dead(spark, sf)).select(
+        *_parsed("body", "error string, timestamp string, request_id string"))
 
 
 def q_failure_alerts(spark, sf):
-    return monitor.failure_alerts(_dead(spark, sf)).select(_file_no(), "payload")
+    return monitor.failure_alerts(_dead(spark, sf)).select(
+        *_parsed("payload", "error string, cause string"))
 
 
 def q_run_summary(spark, sf):
@@ -270,7 +282,8 @@ def q_sink_orders_parquet(spark, sf):
 # ---- catalog and SQL -------------------------------------------------------------------
 
 def q_scan_catalog_orders(spark, sf):
-    table = catalog.register_final_orders(spark, "orderlake_check.orders", _final_orders(spark, sf))
+    path = _final_orders(spark, sf)
+    table = catalog.register_final_orders(spark, f"orderlake_check.orders_{path[-12:]}", path)
     return catalog.read_catalog_orders(spark, table).select(*CLEAN_COLUMNS)
 
 
@@ -283,6 +296,25 @@ def q_discover_schema(spark, sf):
     return catalog.schema_rows(spark, "orders", catalog.discover_csv_schema(spark, path))
 
 
+def q_discover_schema_parquet(spark, sf):
+    return catalog.schema_rows(spark, "final_orders",
+                               catalog.discover_parquet_schema(spark, _final_orders(spark, sf)))
+
+
+def q_schema_evolution(spark, sf):
+    """Registered before ``country`` is known, then again with it: the table
+    stays, and all its rows show the new column."""
+    path = _final_orders(spark, sf)
+    table = f"orderlake_check.evolving_{path[-12:]}"
+    parts = ("year", "month", "day")
+    early = T.StructType([f for f in FINAL_ORDERS.fields if f.name != "country"])
+    catalog.register_table(spark, table, path, schema=early, partitioned_by=parts)
+    catalog.register_table(spark, table, path, schema=FINAL_ORDERS, partitioned_by=parts)
+    return spark.table(table).groupBy("year").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("country").alias("with_country"),
+        F.count_distinct("country").alias("countries"))
+
+
 def _orders_view(spark, sf) -> str:
     name = "orderlake_final_orders"
     catalog.read_final_orders(spark, _final_orders(spark, sf)).createOrReplaceTempView(name)
@@ -318,11 +350,20 @@ def q_incremental_rerun(spark, sf):
 
 def q_end_to_end(spark, sf):
     landing = stage_raw_files(spark, sf)
-    res = run_flow(spark, landing, unique_path(spark, "flow"), database="orderlake_flow",
-                   as_of=CHECK_AS_OF)
+    work = unique_path(spark, "flow")
+    res = run_flow(spark, landing, work, database=f"orderlake_flow_{work[-12:]}", as_of=CHECK_AS_OF)
     return spark.table(res.tables[rollups.VIP])
 
 
+def q_pipeline_end_to_end(spark, sf):
+    """The flow run on half of the files, then again when the rest has come."""
+    base, work = unique_path(spark, "flow-landing"), unique_path(spark, "flow-twice")
+    for folder, some in (("first", F.col("file_no") < 200), ("second", F.col("file_no") >= 200)):
+        stage_raw_files(spark, sf, where=some, path=f"{base}/{folder}")
+        res = run_flow(spark, base, work, database=f"orderlake_flow_{work[-12:]}", as_of=CHECK_AS_OF)
+    return spark.table(res.tables[rollups.MARKET])
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "scan_raw_csv": q_scan_raw_csv,
@@ -330,6 +371,8 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": q_stream_ingest,
     "scan_catalog_orders": q_scan_catalog_orders,
     "discover_schema": q_discover_schema,
+    "discover_schema_parquet": q_discover_schema_parquet,
+    "schema_evolution": q_schema_evolution,
     "scan_final_orders_by_day": q_scan_final_orders_by_day,
     # projection and scalar functions
     "clean_orders": q_clean_orders,
@@ -377,4 +420,5 @@ QUERIES: dict[str, Query] = {
     # jobs
     "incremental_rerun": q_incremental_rerun,
     "end_to_end_run": q_end_to_end,
+    "pipeline_end_to_end": q_pipeline_end_to_end,
 }

@@ -36,18 +36,12 @@ FINAL_ORDERS = T.StructType(
     + [T.StructField(n, T.StringType()) for n in ("year", "month", "day")]
 )
 
-REJECT = T.StructType([
-    T.StructField("source_file", T.StringType()),
-    T.StructField("row", T.LongType()),
-    T.StructField("reason", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("detail", T.StringType()),
-])
-
 DEAD_LETTER = T.StructType([
     T.StructField("bucket", T.StringType()),
     T.StructField("key", T.StringType()),
+    T.StructField("source_file", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("error_type", T.StringType()),
     T.StructField("timestamp", T.TimestampNTZType()),
     T.StructField("request_id", T.StringType()),
 ])

@@ -8,12 +8,11 @@ broadcast threshold) are left to the cluster unless a builder is created here.
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results, so every entry point applies them.
 REQUIRED_CONF = {
@@ -69,9 +68,10 @@ def build_session(master: str | None = None, app: str = "orderlake",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a private folder under the system
-    temp dir is created and registered, so that ``DataFrame.checkpoint`` and
-    our staged tables land in the same place.
+    Only when it is unset and the master is local (tests) a private folder
+    under the system temp dir is created and registered, so that
+    ``DataFrame.checkpoint`` and our staged tables land in the same place; on
+    a cluster an unset folder is an error.
     """
     global _LOCAL_ROOT
     sc = spark.sparkContext
@@ -109,18 +109,9 @@ def unique_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can look at a local-mode folder."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def path_exists(path: str) -> bool:
-    return is_local(path) and os.path.exists(local_path(path))
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there: it is computed
+    once, lost executors cost nothing, and the planner knows its real size."""
+    path = unique_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

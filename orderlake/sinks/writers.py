@@ -3,7 +3,7 @@
 
 Output sizing is left to the data: rollups keep their global sort through a
 range-partitioned write (part files follow the rank order), and a single file
-is produced only when the counted row total is within a bound. The orders
+is produced only where the caller asks for it. The orders
 dataset is rebalanced by day with AQE, which splits a heavy day into several
 files instead of one task, and merges light days.
 """

@@ -8,6 +8,8 @@ date filters become partition filters (only the matching folders are listed).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,23 +40,37 @@ def schema_rows(spark: SparkSession, table: str, schema) -> DataFrame:
                                        "ordinal int")
 
 
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
 def register_table(spark: SparkSession, table: str, path: str, fmt: str = "parquet",
                    schema=None, partitioned_by=(), options: dict | None = None) -> str:
-    """CREATE DATABASE/TABLE over files in place; partitions are recovered."""
+    """Register the files under ``path``; a table that is already there stays
+    and gets the columns and partitions it lacks. It is never removed: a name
+    that belongs to another folder is an error."""
     ensure_conf(spark)
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(table.split('.')[0])}")
-    spark.sql(f"DROP TABLE IF EXISTS {_ident(table)}")
-    cols = ""
-    if schema is not None:
-        cols = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ")"
-    opts = ""
-    if options:
-        opts = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
-    part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
-    spark.sql(f"CREATE TABLE {_ident(table)} {cols} USING {fmt}{opts}{part} LOCATION '{path}'")
+    if spark.catalog.tableExists(table):
+        at = (spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(table)}")
+              .where("col_name = 'Location'").select("data_type").first())
+        if at is None or _plain(at[0]) != _plain(path):
+            raise ValueError(f"table {table} belongs to {at and at[0]}, not to {path}")
+        if schema is not None:
+            add_columns(spark, table, schema)
+    else:
+        cols = ""
+        if schema is not None:
+            cols = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ")"
+        opts = ""
+        if options:
+            opts = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
+        part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
+        spark.sql(f"CREATE TABLE {_ident(table)} {cols} USING {fmt}{opts}{part} LOCATION '{path}'")
     if partitioned_by:
         spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
     return table
 
 

@@ -3,13 +3,19 @@
 A raw file is the unit of work and of failure. Two scans:
 
 1. ``file_checks``: a text scan grouped by file gives each file's first line
-   (its header), whether every line is valid UTF-8, and its size. Zero-byte
-   files produce no lines; they are found by comparing with the listing.
+   (its header), whether every line is valid UTF-8, its size, and whether its
+   records are lines. Zero-byte files produce
+   no lines; they are found by comparing with the listing.
 2. ``scan_raw``: files are grouped by header signature and each group is read
    by the CSV source with a positional all-string schema, so columns are
    matched by NAME even when files order them differently (Spark itself would
    apply the first file's header to every file). The groups are unioned.
 
+Files are read as splits, many tasks a file. Only those the text scan shows to
+hold a quoted line break, an unusual quote or a line of blanks (which the
+line-wise reader would skip) are read whole, one task a file; for all others
+both ways give the same records.
+
 Short rows (fewer fields than the header) leave later fields missing, which the
 reference treats differently from blank fields; the number of fields is
 counted from ``_corrupt_record``, which Spark fills for short and long rows.
@@ -49,12 +55,24 @@ CSV_OPTIONS = {
 _SPLIT_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def _normalize_path(p: str) -> str:
+def normalize_path(p: str) -> str:
     if p.startswith("file:///"):
         return "file:/" + p[len("file:///"):]
     return p
 
 
+def _needs_whole_file(line: Column) -> Column:
+    """True for a line that is not surely one record of its own.
+
+    Well-formed quoted fields are taken out; a quote that is left may open a
+    field that ends on a later line. The line-wise CSV reader skips lines of
+    blanks, which are records of one field.
+    """
+    plain = F.regexp_replace(F.replace(line, F.lit('""'), F.lit("")), r'(^|,)"[^"]*+"(?=,|$)', "")
+    return (F.when(line.contains('"'), plain.contains('"'))
+            .otherwise((line != "") & (F.ascii(line) <= 32) & line.rlike(r"^[\x00-\x20]+$")))
+
+
 def raw_text(spark: SparkSession, paths, glob: str | None = "*.csv",
              recursive: bool = True) -> DataFrame:
     reader = spark.read.format("text")
@@ -75,7 +93,7 @@ def header_names(header: Column) -> Column:
 
 
 def file_checks(text: DataFrame) -> DataFrame:
-    """Per file: source_file, file_size, header, names, utf8_ok, error.
+    """Per file: source_file, file_size, header, names, utf8_ok, whole, error.
 
     ``text`` is a text-source frame (batch or one micro-batch). Partial
     aggregation keeps this cheap even when one file holds most of the rows.
@@ -89,40 +107,48 @@ def file_checks(text: DataFrame) -> DataFrame:
     per_file = lines.groupBy("source_file").agg(
         F.first("file_size").alias("file_size"),
         F.min_by("value", "pos").alias("header"),
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8_ok"))
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8_ok"),
+        F.bool_or(_needs_whole_file(F.col("value"))).alias("whole"))
     return per_file.select(
         "source_file", "file_size", "header",
         header_names(F.col("header")).alias("names"),
-        "utf8_ok",
+        "utf8_ok", "whole",
         F.when(~F.col("utf8_ok"), F.lit(BAD_ENCODING_ERROR))
          .when(F.col("header") == "", F.lit(MISSING_HEADERS_ERROR))
          .alias("error"))
 
 
-def empty_files(spark: SparkSession, listed: list[str], seen: DataFrame) -> DataFrame:
-    """Files in the listing that produced no line at all (zero bytes)."""
-    listing = spark.createDataFrame([(_normalize_path(p),) for p in listed], "source_file string")
+def empty_files(spark: SparkSession, landing: str, seen: DataFrame,
+                glob: str | None = "*.csv") -> DataFrame:
+    """The zero-byte files under ``landing``, in the form of ``file_checks``:
+    those that are listed but gave no line (``seen``: source_file). Spark's
+    sources skip such files, so the listing is that of its file index."""
+    listed = [(normalize_path(p),) for p in raw_text(spark, landing, glob).inputFiles()]
     seen_n = seen.select(F.regexp_replace("source_file", "^file:///", "file:/").alias("source_file"))
-    return (listing.join(seen_n, "source_file", "left_anti")
-            .select("source_file", F.lit(0).cast("long").alias("file_size"),
+    return (spark.createDataFrame(listed, "source_file string")
+            .join(seen_n, "source_file", "left_anti")
+            .select("source_file",
+                    F.lit(0).cast("long").alias("file_size"),
                     F.lit(None).cast("string").alias("header"),
                     F.lit(None).cast("array<string>").alias("names"),
-                    F.lit(True).alias("utf8_ok"),
+                    F.lit(True).alias("utf8_ok"), F.lit(False).alias("whole"),
                     F.lit(MISSING_HEADERS_ERROR).alias("error")))
 
 
 @dataclass
 class SignatureGroup:
     names: list[str]
+    whole: bool
     paths: list[str]
 
 
 def signature_groups(checks: DataFrame) -> list[SignatureGroup]:
-    """Readable files grouped by header; only names and paths reach the driver."""
+    """Readable files grouped by header and way of reading; only names and
+    paths reach the driver, as the reader takes its paths from there."""
     rows = (checks.where(F.col("error").isNull())
-            .groupBy("names").agg(F.collect_list("source_file").alias("paths"))
+            .groupBy("names", "whole").agg(F.collect_list("source_file").alias("paths"))
             .collect())
-    return [SignatureGroup(list(r["names"]), list(r["paths"])) for r in rows]
+    return [SignatureGroup(list(r["names"]), r["whole"], list(r["paths"])) for r in rows]
 
 
 def _field_count(corrupt: Column) -> Column:
@@ -131,14 +157,14 @@ def _field_count(corrupt: Column) -> Column:
     return F.size(F.split(stripped, ",", -1))
 
 
-def read_group(spark: SparkSession, group: SignatureGroup, multiline: bool = True) -> DataFrame:
+def read_group(spark: SparkSession, group: SignatureGroup) -> DataFrame:
     """CSV scan of files sharing one header, mapped to the eight raw columns."""
     n = len(group.names)
     positional = [f"_c{i}" for i in range(n)]
     reader = spark.read.schema(raw_string_schema(positional, CORRUPT))
     for k, v in CSV_OPTIONS.items():
         reader = reader.option(k, v)
-    df = reader.option("multiLine", str(multiline).lower()).csv(group.paths)
+    df = reader.option("multiLine", str(group.whole).lower()).csv(group.paths)
     fields = F.when(F.col(CORRUPT).isNull(), F.lit(n)).otherwise(_field_count(F.col(CORRUPT)))
     cols, absent = [], []
     for name in RAW_COLUMNS:
@@ -160,13 +186,15 @@ def read_group(spark: SparkSession, group: SignatureGroup, multiline: bool = Tru
         *[F.lit(name in absent).alias(f"_absent_{name}") for name in RAW_COLUMNS])
 
 
-def scan_raw(spark: SparkSession, groups: list[SignatureGroup], multiline: bool = True) -> DataFrame | None:
-    """Union of the per-signature scans (None when no file is readable)."""
+def scan_raw(spark: SparkSession, groups: list[SignatureGroup]) -> DataFrame:
+    """Union of the per-signature scans (no rows when no file is readable)."""
     ensure_conf(spark)
-    frames = [read_group(spark, g, multiline) for g in groups]
-    if not frames:
-        return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+    if not groups:
+        texts = [f"`{name}` string" for name in RAW_COLUMNS]
+        flags = [f"`_absent_{name}` boolean" for name in RAW_COLUMNS]
+        return spark.createDataFrame(
+            [], ", ".join(["source_file string", "block_start long", "mid long", *texts, *flags]))
+    out = read_group(spark, groups[0])
+    for g in groups[1:]:
+        out = out.unionByName(read_group(spark, g))
     return out

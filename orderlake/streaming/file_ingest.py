@@ -14,11 +14,11 @@ micro-batch replaces its own output instead of duplicating it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..plans.ingest import ingest
+from ..plans.ingest import dead_letters, ingest, qualify
 from ..schemas import CLEAN
 from ..session import ensure_conf
+from ..sources import raw_csv
 
 
 def _writer(df: DataFrame, fmt: str):
@@ -30,10 +30,10 @@ def _writer(df: DataFrame, fmt: str):
 
 def ingest_stream(spark: SparkSession, landing: str, out_root: str, checkpoint: str,
                   glob: str = "*.csv", max_files_per_trigger: int | None = None,
-                  available_now: bool = True, multiline: bool = True,
+                  available_now: bool = True,
                   clean_format: str = "parquet", as_of=None):
     """Start the arrival stream; returns the StreamingQuery (already finished
-    when ``available_now``)."""
+    when ``available_now``; otherwise call ``sweep_empty_files`` at times)."""
     ensure_conf(spark)
     reader = (spark.readStream.format("text").option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true"))
@@ -44,13 +44,13 @@ def ingest_stream(spark: SparkSession, landing: str, out_root: str, checkpoint:
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        ing = ingest(session, landing, multiline=multiline, text=batch)
+        ing = ingest(session, landing, text=batch)
         part = f"batch_id={batch_id}"
+        _writer(ing.checks.select("source_file"), "parquet").save(f"{out}/files/{part}")
         _writer(ing.published(with_source=True), clean_format).save(f"{out}/clean/{part}")
         _writer(ing.rejects(), "parquet").save(f"{out}/rejects/{part}")
         _writer(ing.metrics(), "parquet").save(f"{out}/metrics/{part}")
         _writer(ing.dead_letters(as_of=as_of), "parquet").save(f"{out}/dead_letters/{part}")
-        ing.release()
 
     trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
     q = (lines.writeStream.foreachBatch(per_batch)
@@ -58,6 +58,7 @@ def ingest_stream(spark: SparkSession, landing: str, out_root: str, checkpoint:
          .trigger(**trigger).start())
     if available_now:
         q.awaitTermination()
+        sweep_empty_files(spark, landing, out, glob, as_of)
     return q
 
 
@@ -79,15 +80,13 @@ def clean_rows(spark: SparkSession, out_root: str, fmt: str = "parquet") -> Data
     return read_stream_output(spark, out_root, "clean", fmt).drop("batch_id", "source_file")
 
 
-def sweep_empty_files(spark: SparkSession, landing: str, known_sources: DataFrame,
-                      glob: str = "*.csv") -> DataFrame:
-    """Zero-byte files never reach a micro-batch: list the folder with a batch
-    scan and return listed files not yet seen as a source or dead letter."""
-    from ..sources.raw_csv import MISSING_HEADERS_ERROR, raw_text
-    listed = raw_text(spark, landing, glob).inputFiles()
-    listing = spark.createDataFrame([(p,) for p in listed], "source_file string")
-    norm = lambda c: F.regexp_replace(c, "^file:///", "file:/")
-    return (listing.select(norm("source_file").alias("source_file"))
-            .join(known_sources.select(norm("source_file").alias("source_file")),
-                  "source_file", "left_anti")
-            .withColumn("error", F.lit(MISSING_HEADERS_ERROR)))
+def sweep_empty_files(spark: SparkSession, landing: str, out_root: str, glob: str = "*.csv",
+                      as_of=None) -> None:
+    """Dead letters of the zero-byte files, which never reach a micro-batch:
+    files that are listed but that no batch has seen.
+
+    All of them are written anew each time, so a repeated sweep adds nothing."""
+    seen = spark.read.schema("source_file string, batch_id string").parquet(f"{out_root.rstrip('/')}/files")
+    empty = raw_csv.empty_files(spark, landing, seen, glob)
+    _writer(dead_letters(empty, qualify(landing), as_of), "parquet").save(
+        f"{out_root.rstrip('/')}/dead_letters/batch_id=empty")

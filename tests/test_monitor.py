@@ -38,3 +38,24 @@ def test_backlog_alarm_brute_force(spark):
         assert r["backlog"] == backlog
         assert r["state"] == ("ALARM" if backlog >= 1 else "OK")
     assert any(r["state"] == "OK" for r in got)  # the queue drains after 14 quiet days
+
+
+def test_alarm_has_no_single_task_window(spark):
+    df, _ = _events(spark)
+    plan = monitor.backlog_alarm(df)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("[day" in line for line in windows)
+    assert "SinglePartition" not in "".join(line for line in plan.splitlines() if "Window" in line)
+
+
+def test_alarm_returns_to_ok_by_as_of_and_stands_outliers(spark):
+    from pyspark.sql import functions as F
+    rows = [(dt.datetime(1990, 1, 1),), (dt.datetime(2024, 1, 1, 0, 2),)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    got = monitor.backlog_alarm(df, as_of=F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
+    last = got.orderBy(F.desc("window_start")).limit(300).collect()
+    assert last[0]["window_start"] == dt.datetime(2024, 1, 16) and last[0]["state"] == "OK"
+    states = {r["window_start"]: r["state"] for r in last}
+    assert states[dt.datetime(2024, 1, 15)] == "OK"
+    assert got.where("state = 'ALARM'").count() == 2 * 4032
+    assert got.where((F.col("window_start") == dt.datetime(2024, 1, 14, 23, 55)) & (F.col("state") == "ALARM")).count() == 1

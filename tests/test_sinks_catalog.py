@@ -105,3 +105,40 @@ def test_run_flow_twice_gives_the_same(spark, tmp_path):
     assert run() == first
     (landing / "c.csv").write_text(head + "2,c@d.com,Peru,Pen,1,1.5,2024-01-03,1.5\n")
     assert run()[0] == 2
+
+
+def test_register_again_keeps_table_and_columns(spark, sf):
+    import pytest
+    from pyspark.sql import types as T
+    path = unique_path(spark, "t-again")
+    _clean(spark, sf).write.parquet(path)
+    schema = T.StructType(list(CLEAN.fields) + [T.StructField("channel", T.StringType())])
+    table = f"orderlake_test.again_{path[-12:]}"
+    catalog.register_table(spark, table, path, schema=CLEAN)
+    catalog.register_table(spark, table, path, schema=schema)
+    catalog.register_table(spark, table, path, schema=CLEAN)
+    assert spark.table(table).columns[-1] == "channel"
+    with pytest.raises(ValueError):
+        catalog.register_table(spark, table, path + "-other", schema=CLEAN)
+
+
+def test_run_flow_retry_after_a_failure(spark, tmp_path, monkeypatch):
+    from orderlake.plans import flow
+
+    head = "OrderID,CustomerEmail,Country,Product,Quantity,UnitPrice,OrderDate,TotalAmount\n"
+    landing, work = tmp_path / "landing", str(tmp_path / "work")
+    landing.mkdir()
+    (landing / "a.csv").write_text(head + "1,a@b.com,Peru,Pen,2,1.5,2024-01-02,3.0\n")
+    with monkeypatch.context() as m:
+        m.setattr(flow, "run_etl", lambda *a, **k: 1 / 0)
+        try:
+            flow.run_flow(spark, str(landing), work, database="flow_retry")
+            raise AssertionError("must fail")
+        except ZeroDivisionError:
+            pass
+    dead = flow.read_dead_letters(spark, work).collect()
+    assert [r["error_type"] for r in dead] == ["ZeroDivisionError"]
+    out = flow.run_flow(spark, str(landing), work, database="flow_retry")
+    assert spark.read.parquet(out.processed_path).count() == 1
+    assert spark.table(out.tables[rollups.VIP]).first()["total_spent"] == 3.0
+    assert flow.read_dead_letters(spark, work).count() == 0

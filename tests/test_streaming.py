@@ -30,3 +30,16 @@ def test_incremental_equals_batch(spark, sf):
     assert batches == 2
     dead = read_stream_output(spark, out, "dead_letters")
     assert dead.count() == ingest(spark, base).outcomes.where(F.col("error").isNotNull()).count()
+
+
+def test_empty_file_in_the_stream(spark, tmp_path):
+    head = "OrderID,CustomerEmail,Country,Product,Quantity,UnitPrice,OrderDate,TotalAmount\n"
+    landing, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    landing.mkdir()
+    (landing / "a.csv").write_text(head + "1,a@b.com,Peru,Pen,2,1.5,2024-01-02,3.0\n")
+    (landing / "none.csv").write_bytes(b"")
+    for _ in range(2):
+        ingest_stream(spark, str(landing), out, ckpt)
+        dead = read_stream_output(spark, out, "dead_letters").collect()
+        assert [(r["key"], r["error_type"]) for r in dead] == [("none.csv", "ValueError")]
+    assert clean_rows(spark, out).count() == 1
