@@ -115,3 +115,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = unique_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def local_path(path: str) -> str:
+    """Strip a ``file:`` scheme so Python can open a mounted folder."""
+    if path.startswith("file://"):
+        return path[len("file://"):]
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    return path
+
+
+def is_local(path: str) -> bool:
+    return "://" not in path or path.startswith("file:")
