@@ -15,8 +15,10 @@ cut into BANDS of ROWS slots; with 40 bands of 5 a pair of similarity 0.8 has
 no band in common once in ten million.  In each band every member is compared
 with one centre (linear in the size of a group, whatever it is); bands choose
 their centres by eight different orders, so that copies of a common text that
-are too far from one of them meet another.  Verified pairs join.  Members of one band that are still apart are compared
-within their band where their lengths and signatures allow 0.8.  A pair counts
+are too far from one of them meet another.  Verified pairs join.  Members of one
+band that are still apart are compared within their band where their lengths
+and signatures allow 0.8; a large group is dealt into blocks, and each pair of
+blocks is a task of its own, so no task holds a whole group.  A pair counts
 only if the overlap of the two multisets reaches the threshold.
 
 Edge cases: documents of fewer than five words are one shingle of all their
@@ -42,6 +44,7 @@ SLOTS = BANDS * ROWS
 THRESHOLD = 0.8
 LEAST_AGREEMENT = 0.68  # of slots; at similarity 0.8 less has probability 2e-5
 CELLS = 2048  # of the counts that bound the overlap of two documents from above
+BLOCK = 2000  # members of a group that one task holds twice at most
 CENTRES = 8  # orders of the documents; each band takes its smallest member by one of them
 
 
@@ -198,18 +201,20 @@ def components(links: DataFrame) -> DataFrame:
 
 def _apart(members: DataFrame, threshold: float) -> DataFrame:
     """Pairs of one band whose classes differ and whose lengths and signatures
-    allow the threshold. members: band, hash, doc_id, class_id, size, signature,
-    cells (their common counts are at least the overlap)."""
+    allow the threshold. members: band, hash, n (members of the group), doc_id,
+    class_id, size, signature, cells (their common counts are at least the
+    overlap)."""
     def run(key, table):
         rows = table.to_pandas().sort_values(["size", "doc_id"])
-        doc, cls, size = (rows[c].to_numpy(np.int64) for c in ("doc_id", "class_id", "size"))
+        doc, cls, size, block = (rows[c].to_numpy(np.int64) for c in ("doc_id", "class_id", "size", "block"))
         sign = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), SLOTS)
         cell = np.frombuffer(b"".join(rows["cells"]), np.uint8).reshape(len(rows), CELLS)
+        one_block = key[2].as_py() == key[3].as_py()
         out_a, out_b = [], []
         for i in range(len(doc) - 1):
             j = int(np.searchsorted(size, size[i] / threshold + 1e-9, "right"))
             other = np.arange(i + 1, j)
-            other = other[cls[other] != cls[i]]
+            other = other[(cls[other] != cls[i]) & (one_block | (block[other] != block[i]))]
             if len(other):
                 other = other[(sign[other] == sign[i]).mean(1) >= LEAST_AGREEMENT]
                 least = threshold / (1 + threshold) * (size[i] + size[other]) - 1e-6
@@ -218,7 +223,12 @@ def _apart(members: DataFrame, threshold: float) -> DataFrame:
                 out_b += doc[other].tolist()
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
-    return members.groupBy("band", "hash").applyInArrow(run, "a long, b long").select(
+    # Each member goes to the pairs of its block with every block of its group.
+    blocks = F.ceil(F.col("n") / BLOCK)
+    dealt = (members.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks))
+             .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+             .withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("n", "with"))
+    return dealt.groupBy("band", "hash", "low", "high").applyInArrow(run, "a long, b long").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -251,9 +261,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     placed = (in_group.join(classes, "doc_id", "left")
               .withColumn("class_id", F.coalesce("class_id", "doc_id")))
     open_groups = (placed.groupBy("band", "hash").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y"), F.count("*").alias("n"))
-                   .where("x <> y and n > 2").select("band", "hash"))
+                   .where("x <> y and n > 2").select("band", "hash", "n"))
     members = (placed.join(open_groups, ["band", "hash"]).join(signed.select("doc_id", "size", "signature", "cells"), "doc_id")
-               .select("band", "hash", "doc_id", "class_id", "size", "signature", "cells"))
+               .select("band", "hash", "n", "doc_id", "class_id", "size", "signature", "cells"))
     rest = _apart(members, threshold).join(stars, ["a", "b"], "left_anti")
     more = staged(_verified(staged(rest, "apart"), rows, threshold), "more-links")
     links = links.unionByName(more)

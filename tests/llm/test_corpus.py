@@ -174,6 +174,17 @@ def test_op4_near_duplicates(docs, rows, empty):
     assert bagminhash.near_duplicates(empty).count() == 0
 
 
+def test_op4_blocks_of_a_large_group(spark, monkeypatch):
+    # One group of 40 members, each a class of its own; pairs (i, i + 20) agree.
+    monkeypatch.setattr(bagminhash, "BLOCK", 3)
+    r = np.random.default_rng(5)
+    sign = r.integers(0, 1 << 32, (20, bagminhash.SLOTS), np.uint32)
+    full = b"\xff" * bagminhash.CELLS
+    members = spark.createDataFrame([(0, 0, 40, i, i, 100, sign[i % 20].tobytes(), full) for i in range(40)],
+                                    "band int, hash long, n long, doc_id long, class_id long, size long, signature binary, cells binary")
+    assert sorted(got(bagminhash._apart(members, 0.8), "a", "b")) == [(i, i + 20) for i in range(20)]
+
+
 def test_bagminhash_estimates_weighted_jaccard():
     r = np.random.default_rng(2)
     keys = r.integers(1, 1 << 62, 60).astype(np.uint64)
