@@ -174,14 +174,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(doc_id, class_id) of linked documents, class_id their smallest id.
+    """(doc_id, class_id) of linked documents but those that name their class;
+    class_id is the smallest id.
 
-    Alternates two steps until nothing changes: each node hands the smallest
-    of its neighbours to all its larger ones, then to all its smaller ones.
-    Every round is one aggregation and one join; sums tell when it is done."""
+    Alternates two steps: each node hands the smallest of its neighbours to all
+    its larger ones, then to all its smaller ones, until only stars are left:
+    each node points to one other, which points nowhere."""
     edges = staged(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
-    before = None
     while True:
+        ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("up")).unionByName(edges.select(F.col("b").alias("n"), F.lit(0).alias("up")))
+        chained = ends.groupBy("n").agg(F.sum("up").alias("up"), F.count("*").alias("k")).where("up > 1 or (up = 1 and k > 1)")
+        if chained.count() == 0:
+            return edges.select(F.col("a").alias("doc_id"), F.col("b").alias("class_id"))
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # Larger neighbours of each node go to its smallest neighbour.
@@ -192,11 +196,6 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "a")
         edges = staged(small.select(F.col("b").alias("a"), F.col("m").alias("b"))
                        .unionByName(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "small-star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    return edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("doc_id"), F.col("m").alias("class_id"))
 
 
 def _apart(members: DataFrame, threshold: float) -> DataFrame:
@@ -266,13 +265,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                .select("band", "hash", "n", "doc_id", "class_id", "size", "signature", "cells"))
     rest = _apart(members, threshold).join(stars, ["a", "b"], "left_anti")
     more = staged(_verified(staged(rest, "apart"), rows, threshold), "more-links")
+    # Those links join whole classes: only the classes are followed further.
+    of = lambda end: classes.select(F.col("doc_id").alias(end), F.col("class_id").alias(f"of_{end}"))
+    between = (more.join(of("a"), "a", "left").join(of("b"), "b", "left")
+               .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    joined = components(between).select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("whole"))
     links = links.unionByName(more)
-    if not more.isEmpty():
-        classes = components(links)
 
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    out = (member.join(classes.withColumnRenamed("doc_id", "rep"), "rep", "left").join(degree, "rep", "left")
-           .select("doc_id", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    # Classes are told for the representatives; their copies take them over.
+    told = (reps.select(F.col("doc_id").alias("rep")).join(classes.withColumnRenamed("doc_id", "rep"), "rep", "left")
+            .select("rep", F.coalesce("class_id", "rep").alias("class_id")).join(joined, "class_id", "left")
+            .join(degree, "rep", "left")
+            .select("rep", F.coalesce("whole", "class_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    out = member.join(told, "rep").select("doc_id", "class_id", "n_links")
     out = staged(out, "classes")
     sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
     return out.join(sizes, "class_id").select("doc_id", "class_id", "n_links", "class_size")
