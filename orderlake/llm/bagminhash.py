@@ -200,7 +200,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def _apart(members: DataFrame, threshold: float) -> DataFrame:
     """Pairs of one band whose classes differ and whose lengths and signatures
-    allow the threshold. members: band, hash, n (members of the group), doc_id,
+    allow the threshold, each once. members: band, hash, n (members of the group), doc_id,
     class_id, size, signature, cells (their common counts are at least the
     overlap)."""
     def run(key, table):
@@ -218,6 +218,9 @@ def _apart(members: DataFrame, threshold: float) -> DataFrame:
                 other = other[(sign[other] == sign[i]).mean(1) >= LEAST_AGREEMENT]
                 least = threshold / (1 + threshold) * (size[i] + size[other]) - 1e-6
                 other = other[np.minimum(cell[other], cell[i]).sum(1, dtype=np.int64) >= least]
+                # A pair is told once: by the first band that it shares.
+                shared = (sign[other] == sign[i]).reshape(len(other), BANDS, ROWS).all(2)
+                other = other[shared.argmax(1) == key[0].as_py()]
                 out_a += [doc[i]] * len(other)
                 out_b += doc[other].tolist()
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
@@ -228,7 +231,7 @@ def _apart(members: DataFrame, threshold: float) -> DataFrame:
              .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
              .withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("n", "with"))
     return dealt.groupBy("band", "hash", "low", "high").applyInArrow(run, "a long, b long").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

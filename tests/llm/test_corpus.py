@@ -180,7 +180,8 @@ def test_op4_blocks_of_a_large_group(spark, monkeypatch):
     r = np.random.default_rng(5)
     sign = r.integers(0, 1 << 32, (20, bagminhash.SLOTS), np.uint32)
     full = b"\xff" * bagminhash.CELLS
-    members = spark.createDataFrame([(0, 0, 40, i, i, 100, sign[i % 20].tobytes(), full) for i in range(40)],
+    # All meet in bands 0 and 1; each pair is told by band 0 only.
+    members = spark.createDataFrame([(band, 0, 40, i, i, 100, sign[i % 20].tobytes(), full) for i in range(40) for band in (0, 1)],
                                     "band int, hash long, n long, doc_id long, class_id long, size long, signature binary, cells binary")
     assert sorted(got(bagminhash._apart(members, 0.8), "a", "b")) == [(i, i + 20) for i in range(20)]
 
