@@ -1,11 +1,14 @@
 """Operator 5: quality by importance resampling.
 
-Two hashed n-gram models (words and marks, single and in pairs, each once per
-document) are fitted on labelled rows: target text is what the labels accept
-(quality 1, not toxic), raw text is all of it.  A document's log weight is the
-sum of log(target / raw) over its distinct n-grams, where n-grams on which the
-two models don't clearly differ (a ratio within e^2, or less than `deviations`
-standard errors) count as equal.  Documents are sampled by Gumbel top-k: the
+Two hashed n-gram models (words and marks, single and in pairs) are fitted on
+labelled rows: target text is what the labels accept (quality 1, not toxic),
+raw text is all of it.  Both count in how many documents an n-gram occurs once
+or more, twice or more, 3, 5, 9, ... times or more.  The pairs of a word said
+twice are one n-gram, whose count is that of the longest run, which does not
+grow with the length of the text.  A document's log weight is the sum of
+log(target / raw) over its n-grams, each at the highest level its count
+reaches on which the two models clearly differ; n-grams with no such level (a
+ratio within e^2, or less than `deviations` standard errors) count as equal.  Documents are sampled by Gumbel top-k: the
 key is log weight / temperature + a Gumbel value drawn from the doc_id, k is
 the number of documents whose log weight reaches `reject_below`.
 
@@ -38,33 +41,50 @@ LEAST_RATIO = 2.0
 REJECT_BELOW = -2.0
 TEMPERATURE = 0.1
 WEIGHT = "log_weight__"
+TWICE = U64(1)  # a word said twice, whichever it is
 
 _CLASS = np.zeros(256, np.uint8)  # 1: word bytes, 2: ASCII marks
 _CLASS[33:127] = 2
 _CLASS[SHINGLE_WORD] = 1
 
 
-def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (document, n-gram hash) of a slice, and two signatures of each
-    document: its smallest and largest five-word shingle (0: shorter)."""
+def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, n-gram of the slice, level hash) of each level that the count
+    of an n-gram in its document reaches, by n-gram and level, and two
+    signatures of each document: its smallest and largest five-word shingle
+    (0: shorter)."""
     data = ascii_lower(data)
+    docs = len(offsets) - 1
     kind = _CLASS[data]
     cut = np.zeros(len(data), bool)
     cut[1:] = kind[1:] != kind[:-1]
     start, end, doc = word_spans(data, offsets, _CLASS > 0, cut)
     word = span_hash(data, start, end)
     at, pair = shingles(word, doc, 2)
-    pair = np.where(word[at] == word[at + 1], U64(1), pair)  # a word said twice, whichever it is
+    pair = np.where(word[at] == word[at + 1], TWICE, pair)
     key, of = np.concatenate([word, pair]), np.concatenate([doc, doc[at]])
-    _, first = np.unique(mix(key + mix(of.astype(U64))), return_index=True)
-    signature = np.zeros((2, len(offsets) - 1), U64)
+    _, first, n = np.unique(mix(key + mix(of.astype(U64))), return_index=True, return_counts=True)
+    key, of = key[first], of[first]
+    # Doubled words grow with the length of a text, the longest run of one does not.
+    once = key != TWICE
+    runs = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])]) if len(word) else doc
+    longest = np.zeros(docs, np.int64)
+    np.maximum.at(longest, doc[runs], np.diff(np.r_[runs, len(word)]))
+    long = np.flatnonzero(longest > 1)
+    key, of = np.r_[key[once], np.full(len(long), TWICE)], np.r_[of[once], long]
+    n = np.r_[n[once], longest[long] - 1]
+    levels = np.ceil(np.log2(n)).astype(np.int64) + 1
+    gram = np.repeat(np.arange(len(key)), levels)
+    level = np.arange(len(gram)) - np.repeat(np.cumsum(levels) - levels, levels)
+    reached = np.where(level > 0, mix(key[gram] + mix(level.astype(U64))), key[gram])
+    signature = np.zeros((2, docs), U64)
     at5, five = shingles(word, doc, 5)
     if len(at5):
         of5 = doc[at5]
         begin = np.flatnonzero(np.r_[True, of5[1:] != of5[:-1]])
         signature[0, of5[begin]] = np.minimum.reduceat(five, begin)
         signature[1, of5[begin]] = np.maximum.reduceat(five, begin)
-    return of[first], key[first], signature
+    return of[gram], gram, reached, signature
 
 
 class Model:
@@ -74,11 +94,12 @@ class Model:
         self.keys, self.ratio = keys, ratio
 
     def weights(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        doc, key, _ = grams(data, offsets)
+        doc, gram, key, _ = grams(data, offsets)
         out = np.zeros(len(offsets) - 1)
         if len(self.keys) and len(key):
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
+            hit = np.flatnonzero(self.keys[at] == key)
+            hit = hit[np.r_[gram[hit][1:] != gram[hit][:-1], np.ones(min(1, len(hit)), bool)]]  # the highest level
             out += np.bincount(doc[hit], self.ratio[at[hit]], len(out))
         return out
 
@@ -96,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     def sign(batches):
         for batch in batches:
             data, offsets = flat(batch.column("text"))
-            got = [grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[2] for i, j in slices(offsets)]
+            got = [grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[3] for i, j in slices(offsets)]
             low, high = np.concatenate(got, axis=1) if got else np.zeros((2, 0), U64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(low.view(np.int64)),
                                               pa.array(high.view(np.int64))], ["doc_id", "low", "high"])
@@ -112,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
             data, offsets = flat(batch.column("text"))
             accept = batch.column("accept").to_numpy(zero_copy_only=False)
             for i, j in slices(offsets):
-                doc, key, _ = grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                doc, _, key, _ = grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 held.append((key, accept[i:j][doc].astype(np.int64)))
         if held:
             key, yes = (np.concatenate(x) for x in zip(*held))

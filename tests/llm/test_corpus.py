@@ -213,6 +213,19 @@ def test_op5_importance(spark, empty):
     assert [importance.kth_largest(values, "v", k) for k in (1, 2, 3, 5, 7)] == [1e9, 3, 2, 2, -5]
 
 
+def test_op5_repeats(spark):
+    # Good and bad texts hold a doubled word and "mm"; only bad ones one word many times in a row, or "mm" often.
+    def text(i):
+        w = prose(60, 7000 + i).split(" ")
+        word = "".join(random.Random(i).choices("qrstuvw", k=6))
+        bad = [(word + " ") * (12 + i % 9), " ".join(f"mm {x}" for x in w[:20])][i % 2]
+        return f"{' '.join(w)} {word} {word} mm {bad if i % 3 == 0 else ''}"
+    docs = spark.createDataFrame([(i, text(i)) for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    out = {r["doc_id"]: r["selected"] for r in importance.select_documents(docs, labels).collect()}
+    assert [i for i in range(400, 600) if out[i]] == [i for i in range(400, 600) if i % 3]  # not labelled
+
+
 def test_op6_licences(spark):
     files = spark.createDataFrame([
         (1, "a/LICENSE", "Some words\nReleased under the MIT License.", "x"), (2, "a/b/c/x.py", "nothing here", "x"),
