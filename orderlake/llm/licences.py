@@ -1,14 +1,16 @@
 """Operator 6: licence scan by sparse TF-IDF cosine and directory inheritance.
 
-DataFrame operations only.  Every line of every file (and the whole text of a
-licence file) is compared with the licence templates by the cosine of their
-TF-IDF vectors; document frequencies of the templates' terms are counted over
-all files, and a term that no template has weighs as much as one never seen.
-Lines are read only in files that hold a term without which no cosine can
-reach the threshold: of each template the heaviest terms, as many as leave the
-rest of its vector shorter than threshold x its length (Cauchy-Schwarz).
-
-A file with a line of its own that reaches the threshold has that licence.
+DataFrame operations only.  The units of a file are its lines, its sentences
+(over line breaks), the runs of as many words as a template has (over lines and
+sentences), and the whole text of a licence file.  Every unit is compared with
+the licence templates by the cosine of their TF-IDF vectors; the document
+frequencies of all terms are counted over all files.  Units are made only in
+files that hold a term without which no cosine can reach the threshold, and
+each holds such a term: of each template the heaviest terms, as many as leave
+the rest of its vector shorter than threshold x its length (Cauchy-Schwarz).
+Equal units are scored once.
+
+A file with a unit of its own that reaches the threshold has that licence.
 Licence files (LICENSE, LICENCE, COPYING, by name) give theirs to their
 directory; every other file inherits from the nearest directory above it: its
 ancestor directories are joined with the licensed ones, the deepest wins.
@@ -44,6 +46,7 @@ TEMPLATES = {
     "Proprietary": "Copyright. All rights reserved.",
 }
 TERM = "[^a-z0-9]+"
+SENTENCE = r"(?<=[.!?])\s+|\n\s*\n"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying)(\..*)?$"
 
 
@@ -72,13 +75,13 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, templates: dict[str, st
     rows = rows.withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
     rows = rows.withColumn("is_licence", F.regexp_extract("path", r"([^/]*)$", 1).rlike(LICENCE_FILE))
 
-    # Document frequencies of the vocabulary, over all files.
+    # Document frequencies of all terms, over all files.
     n = rows.count()
-    present = F.array_intersect(_terms("text"), F.array(*map(F.lit, vocabulary)))
-    df = {r["term"]: r["n"] for r in rows.select(F.explode(present).alias("term"))
-          .groupBy("term").agg(F.count("*").alias("n")).collect()}
+    seen = staged(rows.select(F.explode(F.array_distinct(_terms("text"))).alias("term"))
+                  .groupBy("term").agg(F.count("*").alias("n")), "term-files")
+    df = {r["term"]: r["n"] for r in seen.where(F.col("term").isin(vocabulary)).collect()}
     idf = {t: math.log((n + 1) / (df.get(t, 0) + 1)) + 1 for t in vocabulary}
-    unseen = math.log(n + 1) + 1
+    weights = seen.select("term", (F.log(F.lit(n + 1) / (F.col("n") + 1)) + 1).alias("idf"))
     length = {name: math.sqrt(sum((k * idf[t]) ** 2 for t, k in counts.items())) for name, counts in terms.items()}
     needed: set[str] = set()
     for name, counts in terms.items():
@@ -88,26 +91,39 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, templates: dict[str, st
                 break
             needed.add(t)
             rest -= (counts[t] * idf[t]) ** 2
-    # Small tables of the templates' terms: their size is that of the list above.
-    weights = F.broadcast(spark.createDataFrame([(t, idf[t]) for t in vocabulary], "term string, idf double"))
+    # A small table of the templates' terms: its size is that of the list above.
     vectors = F.broadcast(spark.createDataFrame(
         [(name, t, k * idf[t] / length[name]) for name, c in terms.items() for t, k in c.items()],
         "licence string, term string, weight double"))
 
     holds = f"(?i)(^|[^a-z0-9])({'|'.join(sorted(needed))})([^a-z0-9]|$)"
-    lines = rows.where(F.col("text").rlike(holds)).select(
-        "row", F.posexplode(F.split("text", "\n")).alias("unit", "line")).where(F.col("line").rlike(holds))
-    whole = rows.where("is_licence").where(F.col("text").rlike(holds)).select(
-        "row", F.lit(-1).alias("unit"), F.col("text").alias("line"))
-    tf = (lines.unionByName(whole).distinct().select("row", "unit", F.explode(_terms("line")).alias("term"))
-          .groupBy("row", "unit", "term").agg(F.count("*").alias("tf")).join(weights, "term", "left")
-          .select("row", "unit", "term", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("w")))
+    some = rows.where(F.col("text").rlike(holds)).select("row", "text", "is_licence", _terms("text").alias("all"))
+    # Written once: a place or a run must not split the text anew.
+    some = staged(some.dropDuplicates(["row"]), "licence-texts")
+    pieces = some.select("row", F.explode(F.split("text", "\n")).alias("unit")).unionByName(
+        some.select("row", F.explode(F.split("text", SENTENCE)).alias("unit"))).unionByName(
+        some.where("is_licence").select("row", F.col("text").alias("unit")))
+    units = pieces.where(F.col("unit").rlike(holds)).select("row", _terms("unit").alias("terms"))
+    place = F.transform("all", lambda t, i: F.when(t.isin(sorted(needed)), i + 1))
+    places = staged(some.select("row", "all", F.filter(place, lambda i: i.isNotNull()).alias("at")), "licence-places")
+    for k in sorted({sum(c.values()) for c in terms.values()}):
+        last = F.size("all") - (k - 1)
+        starts = F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(
+            F.least(F.greatest(i - (k - 1), F.lit(1)), last), F.least(i, last)))))
+        runs = F.transform(starts, lambda i: F.slice("all", i, F.lit(k)))
+        units = units.unionByName(places.where((F.size("all") >= k) & (F.size("at") > 0)).select("row", F.explode(runs).alias("terms")))
+    units = units.withColumn("unit", F.xxhash64("terms"))
+    units = staged(units.groupBy("row", "unit").agg(F.first("terms").alias("terms")), "licence-units")
+    tf = (units.groupBy("unit").agg(F.first("terms").alias("terms")).select("unit", F.explode("terms").alias("term"))
+          .groupBy("unit", "term").agg(F.count("*").alias("tf")).join(weights, "term")
+          .select("unit", "term", (F.col("tf") * F.col("idf")).alias("w")))
     tf = staged(tf, "licence-terms")
-    norms = tf.groupBy("row", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    cosines = (tf.join(vectors, "term").groupBy("row", "unit", "licence").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-               .join(norms, ["row", "unit"]).select("row", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
+    norms = tf.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    cosines = (tf.join(vectors, "term").groupBy("unit", "licence").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+               .join(norms, "unit").select("unit", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
                .where(F.col("cosine") >= threshold))
-    best = cosines.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("best"))
+    scored = cosines.groupBy("unit").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("best"))
+    best = units.select("row", "unit").join(scored, "unit").groupBy("row").agg(F.min("best").alias("best"))
     own = staged(best.select("row", F.col("best.licence").alias("licence"), (-F.col("best.c")).alias("cosine")), "own-licence")
 
     keys = rows.select("row", "file_id", "path", "dir", "is_licence").join(own, "row", "left")

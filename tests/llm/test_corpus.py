@@ -241,6 +241,28 @@ def test_op6_licences(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_op6_statements_among_words(spark):
+    said = ["Released under the MIT License. See the LICENSE file for details.", "Copyright (c) 2020 Foo Inc. Released under the MIT License.",
+            "# foo bar.  Released\n# under the MIT\n# License. Go on", "This project is licensed under the MIT License.",
+            'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance.',
+            "# This library, foo, is licensed under the GNU Lesser\n# General Public License, version 3, or later"]
+    plain = [(100 + i, f"{prose(30, 900 + i)} the use of this project is under all work and foo", "x/y") for i in range(100)]
+    files = spark.createDataFrame([(i, t, "x/y") for i, t in enumerate(said)] + plain, "file_id long, text string, path string")
+    assert got(licences.scan(files).where("how <> 'none'"), "file_id", "licence", "how") == sorted(
+        [(i, x, "header") for i, x in enumerate(["MIT", "MIT", "MIT", "MIT", "Apache-2.0", "LGPL-3.0"])], key=repr)
+
+
+def test_op6_counts_all_terms(spark):
+    # The same five words beside a licence's: common ones leave the cosine of the line high, rare ones don't.
+    line = "released under the mit license alpha beta gamma delta epsilon"
+    def cosine(common):
+        files = spark.createDataFrame([(1, line + ".", "a")] + [(i, "alpha beta gamma delta epsilon" if common else "zeta", "b")
+                                                                for i in range(2, 200)], "file_id long, text string, path string")
+        whole = {"X": "released under the mit license and nothing else whatever follows it here"}
+        return licences.scan(files, 0.1, whole).where("file_id = 1").first()["cosine"]
+    assert cosine(True) > cosine(False) + 0.1
+
+
 def brute_tiling(text, item, least=5):
     t, w, marked = list(text), list(item), 0
     while True:
