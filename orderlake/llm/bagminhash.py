@@ -108,7 +108,8 @@ def signatures(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int, s
 
 def cells(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int) -> np.ndarray:
     """Shingle counts by CELLS classes of the hash, one byte each; a document
-    with a larger count has 255 everywhere, which bounds nothing."""
+    with a larger count has 255 everywhere, which bounds nothing beside a
+    document of smaller counts; two such documents are not tested by it."""
     out = np.bincount(doc * CELLS + (key % U64(CELLS)).astype(np.int64), count, docs * CELLS).reshape(docs, CELLS)
     out[out.max(1) >= 255] = 255
     return out.astype(np.uint8)
@@ -208,6 +209,7 @@ def _apart(members: DataFrame, threshold: float) -> DataFrame:
         doc, cls, size, block = (rows[c].to_numpy(np.int64) for c in ("doc_id", "class_id", "size", "block"))
         sign = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), SLOTS)
         cell = np.frombuffer(b"".join(rows["cells"]), np.uint8).reshape(len(rows), CELLS)
+        full = (cell == 255).all(1)  # their counts do not fit: two of those have no bound
         one_block = key[2].as_py() == key[3].as_py()
         out_a, out_b = [], []
         for i in range(len(doc) - 1):
@@ -217,7 +219,8 @@ def _apart(members: DataFrame, threshold: float) -> DataFrame:
             if len(other):
                 other = other[(sign[other] == sign[i]).mean(1) >= LEAST_AGREEMENT]
                 least = threshold / (1 + threshold) * (size[i] + size[other]) - 1e-6
-                other = other[np.minimum(cell[other], cell[i]).sum(1, dtype=np.int64) >= least]
+                bound = np.minimum(cell[other], cell[i]).sum(1, dtype=np.int64)
+                other = other[(bound >= least) | (full[other] & full[i])]
                 # A pair is told once: by the first band that it shares.
                 shared = (sign[other] == sign[i]).reshape(len(other), BANDS, ROWS).all(2)
                 other = other[shared.argmax(1) == key[0].as_py()]

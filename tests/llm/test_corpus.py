@@ -186,6 +186,14 @@ def test_op4_blocks_of_a_large_group(spark, monkeypatch):
     assert sorted(got(bagminhash._apart(members, 0.8), "a", "b")) == [(i, i + 20) for i in range(20)]
 
 
+def test_op4_cells_of_very_long_texts(spark):
+    # Sizes beyond what 255 in every cell can bound.
+    sign = np.arange(bagminhash.SLOTS, dtype=np.uint32).tobytes()
+    members = spark.createDataFrame([(0, 0, 3, i, i, 700_000, sign, b"\xff" * bagminhash.CELLS) for i in (1, 2)],
+                                    "band int, hash long, n long, doc_id long, class_id long, size long, signature binary, cells binary")
+    assert got(bagminhash._apart(members, 0.8), "a", "b") == [(1, 2)]
+
+
 def test_bagminhash_estimates_weighted_jaccard():
     r = np.random.default_rng(2)
     keys = r.integers(1, 1 << 62, 60).astype(np.uint64)
