@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import os
-
 import public_tokenizers
 
-from . import bagminhash, deep_shallow, extendible, importance, kneser_ney, licences, pieces, sentence_spans, tiling, wavelet
+from . import (bagminhash, deep_shallow, extendible, importance, kneser_ney, licences, periodic, pieces, sentence_spans,
+               tiling, wavelet)
 from .common import read
 
-#: The vocabulary files' folder; they are installed with their package.
-TOKENIZERS = os.environ.get("ORDERLAKE_TOKENIZERS", os.path.dirname(public_tokenizers.__file__))
-WORD_BPE = os.path.join(TOKENIZERS, "word_bpe_49k.json")
-PIECE_BPE = os.path.join(TOKENIZERS, "piece_bpe_32k.model")
+#: The vocabulary files, installed with their package.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_wavelet_tokens(spark, sf_dir):
@@ -57,9 +55,14 @@ def op10_extendible_hash(spark, sf_dir):
     return extendible.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    docs = periodic.with_planted_loops(read(spark, sf_dir, "documents"))
+    return periodic.run_digests(periodic.collapse_runs(docs))
+
+
 QUERIES = {q.__name__: q for q in (op1_wavelet_tokens, op2_sentence_spans, op3_deep_shallow, op4_bagminhash, op5_importance,
                                    op6_licence_scan, op7_string_tiling, op8_kneser_ney, op9_piece_rounds,
-                                   op10_extendible_hash)}
+                                   op10_extendible_hash, op13_periodic_runs)}
 
 ORACLES = {
     "op10_extendible_hash": """
