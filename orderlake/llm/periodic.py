@@ -28,8 +28,9 @@ table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from fractions import Fraction
-from itertools import compress
+from itertools import chain, compress, count
 
 import numpy as np
 import pyarrow as pa
@@ -60,8 +61,8 @@ def split_segments(ids: np.ndarray, start: np.ndarray, end: np.ndarray, least_wo
         size = end - start
         segment = np.repeat(np.arange(len(start)), size)
         at = ranges(start, size)
-        _, inverse, count = np.unique(segment * n_ids + ids[at], return_inverse=True, return_counts=True)
-        rare = count[inverse] < least_periods
+        _, inverse, times = np.unique(segment * n_ids + ids[at], return_inverse=True, return_counts=True)
+        rare = times[inverse] < least_periods
         changed = np.bincount(segment, rare, len(start)) > 0
         done.append((start[~changed], end[~changed]))
         live = changed[segment]
@@ -229,8 +230,8 @@ def _collapse(least_words: int, least_periods: int):
                 # bytes.split() cuts at the six ASCII white-space characters.
                 words = [data[offsets[d]:offsets[d + 1]].tobytes().split() for d in range(i, j)]
                 cut = np.r_[0, np.cumsum([len(w) for w in words])].astype(np.int64)
-                number: dict[bytes, int] = {}
-                ids = np.fromiter((number.setdefault(w, len(number)) for ws in words for w in ws), np.int64, cut[-1])
+                number: dict[bytes, int] = defaultdict(count().__next__)
+                ids = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, cut[-1])
                 a, b, lag = find_runs(ids, cut, least_words, least_periods)
                 cover = np.zeros(cut[-1] + 1, np.int64)
                 np.add.at(cover, a + lag, 1)

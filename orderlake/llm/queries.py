@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import (bagminhash, deep_shallow, extendible, importance, kneser_ney, licences, periodic, pieces, sentence_spans,
-               tiling, wavelet)
+from . import (bagminhash, deep_shallow, extendible, importance, kneser_ney, licences, line_hash, periodic, pieces,
+               sentence_spans, tiling, wavelet)
 from .common import read
 
 #: The vocabulary files, installed with their package.
@@ -55,6 +56,11 @@ def op10_extendible_hash(spark, sf_dir):
     return extendible.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op12_line_hash(spark, sf_dir):
+    left = line_hash.remove_repeated_lines(read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     docs = periodic.with_planted_loops(read(spark, sf_dir, "documents"))
     return periodic.run_digests(periodic.collapse_runs(docs))
@@ -62,11 +68,30 @@ def op13_periodic_runs(spark, sf_dir):
 
 QUERIES = {q.__name__: q for q in (op1_wavelet_tokens, op2_sentence_spans, op3_deep_shallow, op4_bagminhash, op5_importance,
                                    op6_licence_scan, op7_string_tiling, op8_kneser_ney, op9_piece_rounds,
-                                   op10_extendible_hash, op13_periodic_runs)}
+                                   op10_extendible_hash, op12_line_hash, op13_periodic_runs)}
 
 ORACLES = {
     "op10_extendible_hash": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_line_hash": r"""
+        WITH lines AS (
+          SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+          FROM documents
+        ), keyed AS (
+          SELECT *, translate(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM lines
+        ), counted AS (
+          SELECT key, count(DISTINCT doc_id) AS docs, max(doc_id) AS last
+          FROM keyed WHERE length(key) >= 40 GROUP BY key
+        ), judged AS (
+          SELECT k.*, coalesce(c.docs >= 5 AND c.last <> k.doc_id, false) AS gone
+          FROM keyed k LEFT JOIN counted c USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
 }
