@@ -78,7 +78,7 @@ ORACLES = {
     "op12_line_hash": r"""
         WITH lines AS (
           SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no
           FROM documents
         ), keyed AS (
           SELECT *, translate(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)),
@@ -92,6 +92,6 @@ ORACLES = {
           FROM keyed k LEFT JOIN counted c USING (key)
         )
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
 }
