@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import (bagminhash, deep_shallow, extendible, importance, kneser_ney, licences, line_hash, periodic, pieces,
-               sentence_spans, tiling, wavelet)
+               sentence_spans, spectrum, tiling, wavelet)
 from .common import read
 
 #: The vocabulary files, installed with their package.
@@ -56,6 +56,10 @@ def op10_extendible_hash(spark, sf_dir):
     return extendible.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op11_spectrum_slicing(spark, sf_dir):
+    return spectrum.whiten(spectrum.fixed_point(read(spark, sf_dir, "embeddings")))
+
+
 def op12_line_hash(spark, sf_dir):
     left = line_hash.remove_repeated_lines(read(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -68,7 +72,7 @@ def op13_periodic_runs(spark, sf_dir):
 
 QUERIES = {q.__name__: q for q in (op1_wavelet_tokens, op2_sentence_spans, op3_deep_shallow, op4_bagminhash, op5_importance,
                                    op6_licence_scan, op7_string_tiling, op8_kneser_ney, op9_piece_rounds,
-                                   op10_extendible_hash, op12_line_hash, op13_periodic_runs)}
+                                   op10_extendible_hash, op11_spectrum_slicing, op12_line_hash, op13_periodic_runs)}
 
 ORACLES = {
     "op10_extendible_hash": """
