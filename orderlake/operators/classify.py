@@ -2,12 +2,14 @@
 outcome of the reference's row checks, and the file-poisoning error.
 
 Input: a frame with the eight raw text columns (null means the field is
-missing from a short row) and optionally boolean ``_absent_<column>`` flags,
-true when the file's header lacks that required column. Other columns pass through; the
+missing from a short row), optionally boolean ``_absent_<column>`` flags,
+true when the file's header lacks that required column, and ``_csv_error``,
+the csv reader's error on the record. Other columns pass through; the
 raw text itself is replaced by the clean columns (plus ``raw_order_id``).
 
 The checks run in the reference's order; the first failing one decides:
 
+    not a CSV record       → poison   (csv.Error)
     OrderDate missing      → poison   (None.strip())
     date does not parse    → rejected invalid_date
     CustomerEmail missing  → poison
@@ -54,6 +56,7 @@ def error_type(error: Column) -> Column:
     """The type of the exception that carries a file's error text."""
     return (F.when(error.startswith("'utf-8' codec"), F.lit("UnicodeDecodeError"))
             .when(error == NONE_STRIP_ERROR, F.lit("AttributeError"))
+            .when(error.startswith("new-line character seen") | error.startswith("field larger than"), F.lit("Error"))
             .when(error.isin(NONE_INT_ERROR, NONE_FLOAT_ERROR), F.lit("TypeError"))
             .when(error.isin(*[f"'{n}'" for n in RAW_COLUMNS]), F.lit("KeyError"))
             .when(error.isNotNull(), F.lit("ValueError")))
@@ -78,8 +81,8 @@ def _none_error(df: DataFrame, name: str, usage_error: str) -> Column:
 
 # Outcome codes, in check order. Poison codes at or after TOTAL_DONE are
 # raised after the total step (their computed total is logged).
-(OK_CODE, P_DATE_NONE, R_DATE, P_EMAIL_NONE, P_COUNTRY_NONE, P_QTY_NONE, R_QTY,
- P_PRICE_NONE, R_PRICE, P_TOTAL_ABSENT, P_ID_NONE, P_ID_BAD, P_PRODUCT_NONE) = range(13)
+(OK_CODE, P_CSV, P_DATE_NONE, R_DATE, P_EMAIL_NONE, P_COUNTRY_NONE, P_QTY_NONE, R_QTY,
+ P_PRICE_NONE, R_PRICE, P_TOTAL_ABSENT, P_ID_NONE, P_ID_BAD, P_PRODUCT_NONE) = range(14)
 TOTAL_DONE = P_ID_NONE
 _REJECT_CODES = {R_DATE: INVALID_DATE, R_QTY: INVALID_QUANTITY, R_PRICE: INVALID_UNIT_PRICE}
 
@@ -96,7 +99,8 @@ def classify(raw: DataFrame) -> DataFrame:
     # Spark names are case-insensitive: raw "Country" would clash with the
     # clean "country", so raw text leaves the frame (the OrderID text is kept
     # as raw_order_id for reject reports).
-    keep = [x for x in raw.columns if not x.startswith("_absent_") and x not in RAW_COLUMNS]
+    keep = [x for x in raw.columns if not x.startswith("_absent_") and x not in (*RAW_COLUMNS, "_csv_error")]
+    csv_error = F.col("_csv_error") if "_csv_error" in raw.columns else F.lit(None).cast("string")
     absent = [F.col(x) for x in raw.columns if x.startswith("_absent_")]
     absent_names = [x for x in raw.columns if x.startswith("_absent_")]
 
@@ -104,7 +108,7 @@ def classify(raw: DataFrame) -> DataFrame:
     # stripped columns, so no parser inlines the strip expression again.
     stripped = raw.select(
         *keep, *absent,
-        c["OrderID"].alias("raw_order_id"),
+        csv_error.alias("_csv_error"), c["OrderID"].alias("raw_order_id"),
         c["OrderDate"].alias("_date_text"), c["Quantity"].alias("_qty_text"),
         c["UnitPrice"].alias("_price_text"),
         none["CustomerEmail"].alias("_email_none"), none["Country"].alias("_country_none"),
@@ -130,14 +134,15 @@ def classify(raw: DataFrame) -> DataFrame:
         "order_id": int_from_stripped(s_["OrderID"]),
     }
     parsed = stripped.select(
-        *keep, *absent_names, "raw_order_id", "_date_text", "_qty_text", "_price_text",
+        *keep, *absent_names, "_csv_error", "raw_order_id", "_date_text", "_qty_text", "_price_text",
         "_email_none", "_country_none", "_product_none", "_id_none",
         # order_date is guarded too: date-range filters are the common ones.
         *[(_opaque(v) if k == "order_date" else v).alias(k) for k, v in fields.items()],
     )
     q, u, d = F.col("quantity"), F.col("unit_price"), F.col("order_date")
     code = (
-        F.when(F.col("_date_text").isNull(), P_DATE_NONE)
+        F.when(F.col("_csv_error").isNotNull(), P_CSV)
+        .when(F.col("_date_text").isNull(), P_DATE_NONE)
         .when(d.isNull(), R_DATE)
         .when(F.col("_email_none"), P_EMAIL_NONE)
         .when(F.col("_country_none"), P_COUNTRY_NONE)
@@ -164,7 +169,8 @@ def classify(raw: DataFrame) -> DataFrame:
     detail = F.when(k == R_QTY, F.when(q.isNotNull(), F.lit(NON_POSITIVE_QUANTITY)).otherwise(
         F.concat(F.lit(INT_LITERAL_ERROR), py_repr(F.col("_qty_text")))))
     error = (
-        F.when(k.isin(P_DATE_NONE, P_EMAIL_NONE, P_COUNTRY_NONE, P_PRODUCT_NONE),
+        F.when(k == P_CSV, F.col("_csv_error"))
+        .when(k.isin(P_DATE_NONE, P_EMAIL_NONE, P_COUNTRY_NONE, P_PRODUCT_NONE),
                F.when(k == P_DATE_NONE, _none_error(raw, "OrderDate", NONE_STRIP_ERROR))
                .when(k == P_EMAIL_NONE, _none_error(raw, "CustomerEmail", NONE_STRIP_ERROR))
                .when(k == P_COUNTRY_NONE, _none_error(raw, "Country", NONE_STRIP_ERROR))

@@ -14,6 +14,11 @@ a third of the data) and then gives:
 Rows meet this table by segment, never by file, so no join key is larger than
 one input split. The table is a Parquet folder of known size; the planner
 alone decides whether to broadcast it.
+
+The header is record 0 of its file. Read as a row it is never accepted: where
+there is an order date its text is "OrderDate", a rejected date; where there
+is none, it and all rows after it poison the file. ``segment_stats`` takes it
+out of the counts, and it has no row number of 1 or more.
 """
 
 from __future__ import annotations
@@ -30,14 +35,24 @@ SEGMENT = ["source_file", "block_start"]
 
 
 def segment_stats(classified: DataFrame) -> DataFrame:
-    """Numbers only, so the aggregation is by hash and sorts nothing."""
+    """Numbers only, so the aggregation is by hash and sorts nothing.
+
+    ``rows`` counts records, the header too; the other counts leave it out."""
     st = F.col("status")
-    return classified.groupBy(*SEGMENT).agg(
+    raw = classified.groupBy(*SEGMENT).agg(
         F.min("mid").alias("first_mid"),
         F.count(F.lit(1)).alias("rows"),
         F.count_if(st == ACCEPTED).alias("accepted"),
         F.count_if(st == REJECTED).alias("skipped"),
         F.min(F.when(st == POISON, F.col("mid"))).alias("poison_mid"))
+    has_header = F.col("block_start") == 0
+    header_poisons = has_header & (F.col("poison_mid") == F.col("first_mid"))
+    header_poisons = F.coalesce(header_poisons, F.lit(False))
+    return raw.select(
+        *SEGMENT, "first_mid", "rows", "accepted",
+        (F.col("skipped") - (has_header & ~header_poisons).cast("long")).alias("skipped"),
+        F.when(~header_poisons, F.col("poison_mid"))
+         .when(F.col("rows") > 1, F.col("first_mid") + 1).alias("poison_mid"))
 
 
 def with_row_offsets(segments: DataFrame) -> DataFrame:
@@ -52,7 +67,7 @@ def with_row_offsets(segments: DataFrame) -> DataFrame:
 
 
 def _row(mid: str):
-    return F.col("rows_before") + F.col(mid) - F.col("first_mid") + 1
+    return F.col("rows_before") + F.col(mid) - F.col("first_mid")
 
 
 def file_outcomes(offsets: DataFrame, poison: DataFrame, checks: DataFrame) -> DataFrame:
@@ -65,7 +80,7 @@ def file_outcomes(offsets: DataFrame, poison: DataFrame, checks: DataFrame) -> D
     per_file = offsets.groupBy("source_file").agg(
         F.sum("accepted").alias("rows_accepted"),
         F.sum("skipped").alias("rows_skipped"),
-        F.sum("rows").alias("rows_read"),
+        (F.sum("rows") - 1).alias("rows_read"),
         F.min(_row("poison_mid")).alias("poison_row"))
     # The text of a segment's first poison row; at most one row per segment.
     texts = (poison.withColumnRenamed("mid", "poison_mid").join(offsets, [*SEGMENT, "poison_mid"])
@@ -83,6 +98,7 @@ def file_outcomes(offsets: DataFrame, poison: DataFrame, checks: DataFrame) -> D
         F.coalesce("rows_skipped", zero).alias("rows_skipped"),
         F.coalesce("rows_read", zero).alias("rows_read"),
         "poison_row",
+        F.col("check_error").isNull().alias("readable"),
         error.alias("error"))
 
 
@@ -105,6 +121,6 @@ def logged_before_failure(rows: DataFrame, segments: DataFrame,
     reference logs: those before the file's poison row (``inclusive``: and on
     it). Processing stops there; later rows are never seen.
     """
-    numbered = rows.join(segments, SEGMENT).withColumn("row", _row("mid"))
+    numbered = rows.join(segments, SEGMENT).withColumn("row", _row("mid")).where("row > 0")
     before = (F.col("row") <= F.col("poison_row")) if inclusive else (F.col("row") < F.col("poison_row"))
     return numbered.where(F.col("poison_row").isNull() | before)

@@ -1,20 +1,21 @@
 """Batch ingest of a landing folder of raw order CSVs (the cleaner stage).
 
-``ingest`` parses the raw CSV once and writes the classified rows, with their
+``ingest`` parses the raw text once and writes the classified rows, with their
 position in the split they were read from, to the shared folder; the per-file
 checks, the per-segment table and the outcomes are written there too. Every
 output is derived from these tables. The raw files are never planned again, so
 row numbers do not depend on how a later scan would be split.
 
-    text scan ─► file_checks ─► header signatures
-    CSV scan per signature ─► classify ─► classified rows (written once)
-                                             │
-             segments, outcomes ◄────────────┴──► published / rejects / repairs
+    text scan ─► segment checks ─► file checks
+    text scan ─► records ─► columns by name ─► classify ─► classified rows (written once)
+                                                    │
+                    segments, outcomes ◄────────────┴──► published / rejects / repairs
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from dataclasses import dataclass, field
 
@@ -33,7 +34,7 @@ SUCCESS_MESSAGE = "File processed successfully"
 def qualify(path: str) -> str:
     """Local paths as Spark reports them (``file:/abs``); URIs unchanged."""
     if "://" in path or path.startswith("file:"):
-        return raw_csv.normalize_path(path).rstrip("/")
+        return re.sub("^file:/*", "file:/", path).rstrip("/")
     return "file:" + os.path.abspath(path).rstrip("/")
 
 
@@ -71,8 +72,7 @@ class Ingest:
     # ---- file outputs ------------------------------------------------------
     def metrics(self) -> DataFrame:
         """Per file that finished the row loop: rows_accepted, rows_skipped, size."""
-        return (self.outcomes.where(F.col("poison_row").isNull()
-                                    & (F.col("rows_read") > 0))
+        return (self.outcomes.where(F.col("poison_row").isNull() & F.col("readable"))
                 .select("source_file", "rows_accepted", "rows_skipped", "file_size"))
 
     def dead_letters(self, as_of=None, request_id: str | None = None) -> DataFrame:
@@ -102,18 +102,19 @@ def dead_letters(outcomes: DataFrame, landing: str, as_of=None, request_id: str
 
 
 def ingest(spark: SparkSession, landing: str, glob: str | None = "*.csv",
-           text: DataFrame | None = None) -> Ingest:
-    """Run the cleaner over every file under ``landing``, or over the files of
-    ``text`` (one micro-batch of the streaming source, which reports zero-byte
-    files itself)."""
+           text: DataFrame | None = None, files: DataFrame | None = None) -> Ingest:
+    """Run the cleaner over every file under ``landing``; or over the lines of
+    ``text``, a text-source frame of some of them, and the empty ones of
+    ``files`` (a listing; without it empty files are not looked for)."""
     ensure_conf(spark)
     if text is None:
-        lines = staged(raw_csv.file_checks(raw_csv.raw_text(spark, landing, glob)), "file-checks")
-        checks = lines.unionByName(raw_csv.empty_files(spark, landing, lines, glob))
-    else:
-        lines = checks = staged(raw_csv.file_checks(text), "file-checks")
-    raw = raw_csv.scan_raw(spark, raw_csv.signature_groups(lines))
+        text, files = raw_csv.raw_text(spark, landing, glob), raw_csv.listing(spark, landing, glob)
+    parts = staged(raw_csv.segment_checks(text), "segment-checks")
+    checks = staged(raw_csv.file_checks(parts), "file-checks")
+    raw, checks = raw_csv.scan_raw(text, parts, checks)
     classified = staged(classify(raw), "classified")
+    if files is not None:
+        checks = staged(checks.unionByName(raw_csv.empty_files(files, checks)), "all-checks")
     offsets = staged(gates.with_row_offsets(gates.segment_stats(classified)), "offsets")
     poison = classified.where(F.col("status") == POISON).select(*gates.SEGMENT, "mid", "poison_error")
     outcomes = staged(gates.file_outcomes(offsets, poison, checks), "outcomes")

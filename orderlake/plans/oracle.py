@@ -133,7 +133,11 @@ def with_files(body: str) -> str:
     return f"WITH {BASE},{RAW_FILES},{PARSED}{FILE_STATUS}\n{body}"
 
 
-HEADER_LINE = "OrderID,OrderDate,CustomerEmail,Country,Product,Quantity,UnitPrice,TotalAmount"
+# The three layouts of the fixture's files, by file number modulo 3.
+HEADERS = """CASE file_no % 3
+    WHEN 0 THEN 'OrderID,OrderDate,CustomerEmail,Country,Product,Quantity,UnitPrice,TotalAmount'
+    WHEN 1 THEN 'TotalAmount,UnitPrice,Quantity,Product,Country,CustomerEmail,OrderDate,OrderID'
+    ELSE 'Note,Product,Quantity,UnitPrice,TotalAmount,OrderID,OrderDate,CustomerEmail,Country' END"""
 
 VIP = ("SELECT customer_email, round(sum(total_amount), 2) AS total_spent, "
        "count(order_id) AS order_count FROM {src} GROUP BY customer_email")
@@ -230,7 +234,7 @@ ORACLES: dict[str, str] = {
         'SELECT file_no, "OrderID", "OrderDate", "CustomerEmail", "Country", "Product", '
         '"Quantity", "UnitPrice", "TotalAmount" FROM raw'),
     "header_check": with_files(
-        f"SELECT DISTINCT file_no, '{HEADER_LINE}' AS header, true AS utf8_ok, "
+        f"SELECT DISTINCT file_no, {HEADERS} AS header, true AS utf8_ok, "
         "CAST(NULL AS VARCHAR) AS error FROM raw"),
     "stream_ingest": with_files(f"SELECT {CLEAN_COLS} FROM {PUBLISHED} p"),
     "scan_catalog_orders": with_fixture(f"SELECT {FINAL_COLS} FROM clean_all"),

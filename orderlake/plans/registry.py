@@ -20,7 +20,7 @@ from ..functions import (date_parts, normalize_country, normalize_date, normaliz
 from ..operators import monitor, rollups
 from ..operators.classify import ACCEPTED, accepted, classify
 from ..schemas import CLEAN, CLEAN_COLUMNS, FINAL_ORDERS, RAW_COLUMNS
-from ..session import ensure_conf, unique_path
+from ..session import ensure_conf, staged, unique_path
 from ..sinks import (write_clean_csv, write_orders_parquet, write_rollup_csv,
                      write_rollup_parquet)
 from ..sources import catalog, raw_csv
@@ -170,9 +170,10 @@ def q_partition_labels(spark, sf):
 # ---- raw CSV layer and file gates -----------------------------------------------
 
 def q_scan_raw_csv(spark, sf):
-    ing = _files(spark, sf)
-    raw = raw_csv.scan_raw(spark, raw_csv.signature_groups(ing.checks))
-    return raw.select(_file_no(), *RAW_COLUMNS)
+    text = raw_csv.raw_text(spark, stage_raw_files(spark, sf))
+    parts = staged(raw_csv.segment_checks(text), "segment-checks")
+    raw, _ = raw_csv.scan_raw(text, parts, staged(raw_csv.file_checks(parts), "file-checks"))
+    return raw_csv.without_headers(raw).select(_file_no(), *RAW_COLUMNS)
 
 
 def q_header_check(spark, sf):

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS
+from ..session import staged, unique_path
 
 # Fixed values of the fixture rule (FIXTURES.md §3, §3b).
 BAD_DATE_MOD, BAD_DATE_TEXT = 41, "not-a-date"
@@ -109,6 +110,12 @@ def raw_order_files_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("file_no", "l_orderkey", "l_linenumber", *raw_text_columns(True))
 
 
+# Fixed values of the files' layouts: the file number modulo 3 gives the order
+# of the columns, and some files of the third kind have line breaks in quotes.
+NOTE, NOTE_TEXT, NOTE_MOD, NOTE_REM = "Note", 'first line\nsecond, "quoted" line', 30, 2
+LAYOUTS = (RAW_COLUMNS, tuple(reversed(RAW_COLUMNS)), (NOTE, *RAW_COLUMNS[4:], *RAW_COLUMNS[:4]))
+
+
 # Raw CSV writer options: keep every byte of the text (Spark's writer would
 # otherwise trim blanks) and quote RFC-style.
 RAW_WRITE_OPTIONS = {
@@ -119,19 +126,23 @@ RAW_WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-_STAGED: dict[tuple, str] = {}
-
 
 def write_raw_files(frame: DataFrame, path: str) -> str:
-    """One CSV per ``file_no`` (folder ``file_no=N``), rows in WRITE_ORDER."""
-    (frame.repartition("file_no")
-     .sortWithinPartitions("file_no", *WRITE_ORDER)
-     .select("file_no", *RAW_COLUMNS)
-     .write.mode("overwrite").options(**RAW_WRITE_OPTIONS)
-     .partitionBy("file_no").csv(path))
+    """One CSV per ``file_no`` (folder ``file_no=N``), rows in WRITE_ORDER,
+    columns as its layout has them."""
+    note = F.when(F.col("file_no") % NOTE_MOD == NOTE_REM, F.lit(NOTE_TEXT)).otherwise(F.lit("-"))
+    rows = staged(frame.withColumn(NOTE, note), "raw-rows")
+    for kind, layout in enumerate(LAYOUTS):
+        (rows.where(F.col("file_no") % len(LAYOUTS) == kind)
+         .repartition("file_no").sortWithinPartitions("file_no", *WRITE_ORDER)
+         .select("file_no", *layout)
+         .write.mode("append").options(**RAW_WRITE_OPTIONS).partitionBy("file_no").csv(path))
     return path
 
 
+_STAGED: dict[tuple, str] = {}
+
+
 def stage_raw_files(spark: SparkSession, sf_dir: str, where: Column | None = None,
                     path: str | None = None) -> str:
     """Write the file variant as CSV files into the shared scratch folder.
@@ -139,7 +150,6 @@ def stage_raw_files(spark: SparkSession, sf_dir: str, where: Column | None = Non
     Without ``where``/``path`` the full set is written once per session and
     reused; ``where`` selects some files (to simulate late arrivals).
     """
-    from ..session import unique_path
     frame = raw_order_files_frame(spark, sf_dir)
     if where is not None or path is not None:
         if where is not None:

@@ -35,7 +35,7 @@ def ingest_stream(spark: SparkSession, landing: str, out_root: str, checkpoint:
     """Start the arrival stream; returns the StreamingQuery (already finished
     when ``available_now``; otherwise call ``sweep_empty_files`` at times)."""
     ensure_conf(spark)
-    reader = (spark.readStream.format("text").option("pathGlobFilter", glob)
+    reader = (spark.readStream.format("text").option("pathGlobFilter", glob).option("lineSep", "\n")
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -87,6 +87,6 @@ def sweep_empty_files(spark: SparkSession, landing: str, out_root: str, glob: st
 
     All of them are written anew each time, so a repeated sweep adds nothing."""
     seen = spark.read.schema("source_file string, batch_id string").parquet(f"{out_root.rstrip('/')}/files")
-    empty = raw_csv.empty_files(spark, landing, seen, glob)
+    empty = raw_csv.empty_files(raw_csv.listing(spark, landing, glob), seen)
     _writer(dead_letters(empty, qualify(landing), as_of), "parquet").save(
         f"{out_root.rstrip('/')}/dead_letters/batch_id=empty")
