@@ -57,10 +57,16 @@ def rollups_one_pass(clean: DataFrame) -> DataFrame:
     belongs to comes from ``grouping_id()``, never from null keys, so a null
     customer or country is still its own group.
     """
+    return partial_sums(clean).withColumn("amount", F.round("amount", 2))
+
+
+def partial_sums(clean: DataFrame) -> DataFrame:
+    """``rollups_one_pass`` before rounding: rows of disjoint parts of the
+    orders add up to those of the whole (``merge_partials``)."""
     keys = [ROLLUP_KEYS[r] for r in (VIP, MARKET, PRODUCT)]
     agg = clean.groupingSets([[k] for k in keys], *keys).agg(
         F.grouping_id(*keys).alias("_gid"),
-        F.round(F.sum("total_amount"), 2).alias("amount"),
+        F.sum("total_amount").alias("amount"),
         F.sum("quantity").alias("units"),
         F.count("order_id").alias("order_count"))
     # grouping_id bit i (from the left, of 3) is 1 when keys[i] is aggregated away.
@@ -75,6 +81,13 @@ def rollups_one_pass(clean: DataFrame) -> DataFrame:
                       "amount", "units", "order_count")
 
 
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """The long frame of ``rollups_one_pass`` from the partial sums of all batches."""
+    return partials.groupBy("rollup", "group_key").agg(
+        F.round(F.sum("amount"), 2).alias("amount"), F.sum("units").alias("units"),
+        F.sum("order_count").alias("order_count"))
+
+
 def split_one_pass(long: DataFrame) -> dict[str, DataFrame]:
     """The long frame back into the three ranked rollup tables."""
     out = {}

@@ -74,6 +74,26 @@ def register_table(spark: SparkSession, table: str, path: str, fmt: str = "parqu
     return table
 
 
+def register_view(spark: SparkSession, view: str, folders: list[str], schema) -> str:
+    """A view of exactly these Parquet folders, replaced in one statement (no
+    folders: an empty one). Columns are cast to the schema, so the folders may
+    differ in columns they lack."""
+    ensure_conf(spark)
+    if "." in view:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(view.split('.')[0])}")
+    parts = []
+    for folder in folders:
+        have = {f.name.lower() for f in spark.read.parquet(folder).schema.fields}
+        cols = ", ".join(f"CAST({f'`{f.name}`' if f.name.lower() in have else 'NULL'} AS {f.dataType.simpleString()}) "
+                         f"AS `{f.name}`" for f in schema.fields)
+        parts.append(f"SELECT {cols} FROM parquet.`{folder}`")
+    if not parts:
+        cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+        parts = [f"SELECT {cols} WHERE false"]
+    spark.sql(f"CREATE OR REPLACE VIEW {_ident(view)} AS {' UNION ALL '.join(parts)}")
+    return view
+
+
 def add_columns(spark: SparkSession, table: str, new_schema) -> list[str]:
     """Schema evolution: add columns the table does not have yet; never drop."""
     have = {f.name.lower() for f in spark.table(table).schema.fields}

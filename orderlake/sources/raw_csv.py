@@ -59,6 +59,12 @@ def raw_text(spark: SparkSession, paths, glob: str | None = "*.csv", recursive:
     return reader.load([paths] if isinstance(paths, str) else list(paths))
 
 
+def no_text(spark: SparkSession) -> DataFrame:
+    """A text frame without files."""
+    return spark.createDataFrame([], "value string, _metadata struct<file_path:string,file_name:string,"
+                                     "file_size:bigint,file_block_start:bigint>")
+
+
 def listing(spark: SparkSession, paths, glob: str | None = "*.csv") -> DataFrame:
     """source_file, path, file_size, modified of all files; contents are not
     read. The scan shows the files that are not empty. No scan of Spark's has

@@ -7,31 +7,30 @@ micro-batch's text rows give each file's header and encoding check, and the
 files are then read by header signature. A file never spans micro-batches,
 so file-level gating inside ``foreachBatch`` is sound.
 
-Outputs are written under ``batch_id=N`` folders with overwrite, so a replayed
-micro-batch replaces its own output instead of duplicating it.
+Every micro-batch is published as a whole (``plans.incremental``): its outputs,
+partial sums and orders become visible with its manifest, together with the
+rollups refreshed from the partial sums of all batches. A replayed micro-batch
+replaces itself.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.incremental import CURRENT, SCHEMAS, publish_stream_batch
 from ..plans.ingest import dead_letters, ingest, qualify
-from ..schemas import CLEAN
+from ..schemas import DEAD_LETTER
 from ..session import ensure_conf
+from ..sinks.manifest import Published
 from ..sources import raw_csv
 
-
-def _writer(df: DataFrame, fmt: str):
-    w = df.write.mode("overwrite")
-    if fmt == "csv":
-        w = w.option("header", "true").option("escape", '"')
-    return w.format(fmt)
+#: The batch of the dead letters of empty files.
+EMPTY = "empty"
 
 
 def ingest_stream(spark: SparkSession, landing: str, out_root: str, checkpoint: str,
                   glob: str = "*.csv", max_files_per_trigger: int | None = None,
-                  available_now: bool = True,
-                  clean_format: str = "parquet", as_of=None):
+                  available_now: bool = True, as_of=None):
     """Start the arrival stream; returns the StreamingQuery (already finished
     when ``available_now``; otherwise call ``sweep_empty_files`` at times)."""
     ensure_conf(spark)
@@ -43,14 +42,8 @@ def ingest_stream(spark: SparkSession, landing: str, out_root: str, checkpoint:
     out = out_root.rstrip("/")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        ing = ingest(session, landing, text=batch)
-        part = f"batch_id={batch_id}"
-        _writer(ing.checks.select("source_file"), "parquet").save(f"{out}/files/{part}")
-        _writer(ing.published(with_source=True), clean_format).save(f"{out}/clean/{part}")
-        _writer(ing.rejects(), "parquet").save(f"{out}/rejects/{part}")
-        _writer(ing.metrics(), "parquet").save(f"{out}/metrics/{part}")
-        _writer(ing.dead_letters(as_of=as_of), "parquet").save(f"{out}/dead_letters/{part}")
+        ing = ingest(batch.sparkSession, landing, text=batch)
+        publish_stream_batch(Published(batch.sparkSession, out), f"s{batch_id:08d}", ing, as_of)
 
     trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
     q = (lines.writeStream.foreachBatch(per_batch)
@@ -62,31 +55,30 @@ def ingest_stream(spark: SparkSession, landing: str, out_root: str, checkpoint:
     return q
 
 
-def read_stream_output(spark: SparkSession, out_root: str, name: str = "clean",
-                       fmt: str = "parquet") -> DataFrame:
-    """All micro-batches of one output (``batch_id`` kept as a column)."""
-    path = f"{out_root.rstrip('/')}/{name}"
-    if name == "clean":
-        schema = "source_file string, " + ", ".join(
-            f"{f.name} {f.dataType.simpleString()}" for f in CLEAN.fields) + ", batch_id string"
-        reader = spark.read.schema(schema)
-        if fmt == "csv":
-            reader = reader.option("header", "true").option("escape", '"')
-        return reader.format(fmt).load(path)
-    return spark.read.parquet(path)
+def read_stream_output(spark: SparkSession, out_root: str, name: str = "clean") -> DataFrame:
+    """One output of all published micro-batches, and their ``batch_id``."""
+    return Published(spark, out_root).read(name, SCHEMAS[name], with_batch=True)
+
+
+def clean_rows(spark: SparkSession, out_root: str) -> DataFrame:
+    return read_stream_output(spark, out_root, "clean").drop("batch_id", "source_file")
 
 
-def clean_rows(spark: SparkSession, out_root: str, fmt: str = "parquet") -> DataFrame:
-    return read_stream_output(spark, out_root, "clean", fmt).drop("batch_id", "source_file")
+def read_rollup(spark: SparkSession, out_root: str, name: str) -> DataFrame | None:
+    """A rollup over all published micro-batches (None before the first one)."""
+    folders = [e.folder for e in Published(spark, out_root).current()[1] if (e.output, e.batch) == (name, CURRENT)]
+    return spark.read.parquet(*folders) if folders else None
 
 
 def sweep_empty_files(spark: SparkSession, landing: str, out_root: str, glob: str = "*.csv",
                       as_of=None) -> None:
-    """Dead letters of the zero-byte files, which never reach a micro-batch:
-    files that are listed but that no batch has seen.
+    """Dead letters of the zero-byte files, which never reach a micro-batch.
 
-    All of them are written anew each time, so a repeated sweep adds nothing."""
-    seen = spark.read.schema("source_file string, batch_id string").parquet(f"{out_root.rstrip('/')}/files")
+    All of them are published anew each time, so a repeated sweep adds nothing
+    and a file that has got its content in the meantime loses its letter."""
+    pub = Published(spark, out_root)
+    version, entries = pub.current()
+    seen = pub.read("ledger", SCHEMAS["ledger"], entries)
     empty = raw_csv.empty_files(raw_csv.listing(spark, landing, glob), seen)
-    _writer(dead_letters(empty, qualify(landing), as_of), "parquet").save(
-        f"{out_root.rstrip('/')}/dead_letters/batch_id=empty")
+    letters = pub.write("dead_letters", EMPTY, dead_letters(empty, qualify(landing), as_of).select(*DEAD_LETTER.names))
+    pub.commit(version, [e for e in entries if e.batch != EMPTY] + [letters])

@@ -1,5 +1,7 @@
 """Sinks round-trip; catalog registration and partition pruning."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from orderlake.operators import rollups
@@ -96,7 +98,7 @@ def test_run_flow_twice_gives_the_same(spark, tmp_path):
 
     def run():
         out = run_flow(spark, str(landing), str(tmp_path / "work"), database="flow_twice")
-        rows = spark.read.parquet(out.processed_path)
+        rows = out.processed()
         return rows.count(), rows.agg(F.sum("quantity")).first()[0], read_dead_letters(spark, str(tmp_path / "work")).count()
 
     spark.sql("CREATE DATABASE IF NOT EXISTS flow_twice")
@@ -123,14 +125,14 @@ def test_register_again_keeps_table_and_columns(spark, sf):
 
 
 def test_run_flow_retry_after_a_failure(spark, tmp_path, monkeypatch):
-    from orderlake.plans import flow
+    from orderlake.plans import flow, incremental
 
     head = "OrderID,CustomerEmail,Country,Product,Quantity,UnitPrice,OrderDate,TotalAmount\n"
     landing, work = tmp_path / "landing", str(tmp_path / "work")
     landing.mkdir()
     (landing / "a.csv").write_text(head + "1,a@b.com,Peru,Pen,2,1.5,2024-01-02,3.0\n")
     with monkeypatch.context() as m:
-        m.setattr(flow, "run_etl", lambda *a, **k: 1 / 0)
+        m.setattr(incremental, "current_rollups", lambda *a, **k: 1 / 0)
         try:
             flow.run_flow(spark, str(landing), work, database="flow_retry")
             raise AssertionError("must fail")
@@ -139,6 +141,9 @@ def test_run_flow_retry_after_a_failure(spark, tmp_path, monkeypatch):
     dead = flow.read_dead_letters(spark, work).collect()
     assert [r["error_type"] for r in dead] == ["ZeroDivisionError"]
     out = flow.run_flow(spark, str(landing), work, database="flow_retry")
-    assert spark.read.parquet(out.processed_path).count() == 1
+    assert out.processed().count() == 1
     assert spark.table(out.tables[rollups.VIP]).first()["total_spent"] == 3.0
-    assert flow.read_dead_letters(spark, work).count() == 0
+    # The letter of the failed run stays, and has an alert with error and cause.
+    assert flow.read_dead_letters(spark, work).count() == 1
+    alert = json.loads(flow.flow_alerts(spark, work).first()["payload"])
+    assert (alert["error"], alert["cause"]) == ("ZeroDivisionError", "division by zero")
