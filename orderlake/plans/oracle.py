@@ -227,6 +227,10 @@ ORACLES: dict[str, str] = {
                "'orderlake-check' AS request_id")),
     # Both errors of the fixture (a bad OrderID, no accepted row) are value errors.
     "failure_alerts": with_files(DEAD.format(fields="'ValueError' AS error, error AS cause")),
+    "incremental_rollups": with_files(ONE_PASS.replace("FROM clean_all", f"FROM {PUBLISHED} p")),
+    "orders_follow_source": with_files(f"SELECT {FINAL_COLS} FROM {PUBLISHED} p"),
+    "processed_ledger": with_files(
+        "SELECT file_no, CASE WHEN error IS NULL THEN rows_accepted ELSE 0 END AS rows_published FROM file_outcome"),
     "pipeline_end_to_end": with_files(
         f"SELECT *, {LABELS} FROM ({MARKET.format(src=PUBLISHED + ' p')})"),
     "discover_schema": DISCOVER,

@@ -24,10 +24,12 @@ from ..session import ensure_conf, staged, unique_path
 from ..sinks import (write_clean_csv, write_orders_parquet, write_rollup_csv,
                      write_rollup_parquet)
 from ..sources import catalog, raw_csv
-from ..sources.fixture import raw_orders, read_table, stage_raw_files
+from ..sources.fixture import (raw_order_files_frame, raw_orders, read_table, stage_raw_files, upload_raw_files,
+                               write_raw_files)
 from ..streaming.file_ingest import clean_rows, ingest_stream
 from . import sql as adhoc
-from .flow import run_flow
+from .flow import FlowResult, run_flow
+from .incremental import SCHEMAS
 from .ingest import Ingest, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -356,13 +358,47 @@ def q_end_to_end(spark, sf):
     return spark.table(res.tables[rollups.VIP])
 
 
+_TWICE: dict[tuple, FlowResult] = {}
+
+
+def _two_runs(spark, sf) -> FlowResult:
+    """The flow run twice, once per session. First there are the files 0 to
+    299, of which 0 to 99 hold what belongs into 300 to 399; then 0 to 99 come
+    again with their own rows, and 300 to 399 arrive."""
+    key = (sf.rstrip("/"), spark.sparkContext.applicationId)
+    if key not in _TWICE:
+        base, work = unique_path(spark, "flow-landing"), unique_path(spark, "flow-twice")
+        frame = raw_order_files_frame(spark, sf)
+        no = F.col("file_no")
+        early = frame.where(no >= 100).withColumn("file_no", F.when(no >= 300, no - 300).otherwise(no))
+        for rows in (early, frame.where((no < 100) | (no >= 300))):
+            upload_raw_files(write_raw_files(rows, unique_path(spark, "upload")), base, spark)
+            _TWICE[key] = run_flow(spark, base, work, database=f"orderlake_flow_{work[-12:]}", as_of=CHECK_AS_OF)
+    return _TWICE[key]
+
+
 def q_pipeline_end_to_end(spark, sf):
-    """The flow run on half of the files, then again when the rest has come."""
-    base, work = unique_path(spark, "flow-landing"), unique_path(spark, "flow-twice")
-    for folder, some in (("first", F.col("file_no") < 200), ("second", F.col("file_no") >= 200)):
-        stage_raw_files(spark, sf, where=some, path=f"{base}/{folder}")
-        res = run_flow(spark, base, work, database=f"orderlake_flow_{work[-12:]}", as_of=CHECK_AS_OF)
-    return spark.table(res.tables[rollups.MARKET])
+    return spark.table(_two_runs(spark, sf).tables[rollups.MARKET])
+
+
+def q_orders_follow_source(spark, sf):
+    """The orders dataset after files were corrected and added."""
+    return spark.table(_two_runs(spark, sf).tables["orders"])
+
+
+def q_incremental_rollups(spark, sf):
+    """The rollups merged from the partial sums of the batches."""
+    run = _two_runs(spark, sf)
+    return rollups.merge_partials(run.published.read("partials", SCHEMAS["partials"], run.refresh.entries))
+
+
+def q_processed_ledger(spark, sf):
+    """The files in the state, each once, with the rows it published."""
+    run = _two_runs(spark, sf)
+    of = lambda name: run.published.read(name, SCHEMAS[name], run.refresh.entries)
+    rows = of("clean").groupBy("source_file").agg(F.count("*").alias("rows_published"))
+    return (of("ledger").join(rows, "source_file", "left")
+            .select(_file_no(), F.coalesce("rows_published", F.lit(0)).alias("rows_published")))
 
 
 QUERIES: dict[str, Query] = {
@@ -422,4 +458,7 @@ QUERIES: dict[str, Query] = {
     "incremental_rerun": q_incremental_rerun,
     "end_to_end_run": q_end_to_end,
     "pipeline_end_to_end": q_pipeline_end_to_end,
+    "incremental_rollups": q_incremental_rollups,
+    "orders_follow_source": q_orders_follow_source,
+    "processed_ledger": q_processed_ledger,
 }

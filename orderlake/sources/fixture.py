@@ -140,6 +140,19 @@ def write_raw_files(frame: DataFrame, path: str) -> str:
     return path
 
 
+def upload_raw_files(written: str, landing: str, spark: SparkSession) -> str:
+    """Move the files of ``write_raw_files`` to ``landing/file_no=N/orders.csv``,
+    in place of a file that is there: a sender uploads them (again)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for part in fs.globStatus(path(f"{written}/file_no=*/part-*.csv")):
+        target = path(f"{landing}/{part.getPath().getParent().getName()}/orders.csv")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, False)
+        fs.rename(part.getPath(), target)
+    return landing
+
+
 _STAGED: dict[tuple, str] = {}
 
 
