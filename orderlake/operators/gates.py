@@ -85,7 +85,7 @@ def file_outcomes(offsets: DataFrame, poison: DataFrame, checks: DataFrame) -> D
     # The text of a segment's first poison row; at most one row per segment.
     texts = (poison.withColumnRenamed("mid", "poison_mid").join(offsets, [*SEGMENT, "poison_mid"])
              .select("source_file", _row("poison_mid").alias("poison_row"), "poison_error"))
-    joined = (checks.select("source_file", "file_size", F.col("error").alias("check_error"))
+    joined = (checks.select("source_file", "file_size", "chars", "utf8_ok", F.col("error").alias("check_error"))
               .join(per_file, "source_file", "left")
               .join(texts, ["source_file", "poison_row"], "left"))
     zero = F.lit(0).cast("long")
@@ -93,7 +93,7 @@ def file_outcomes(offsets: DataFrame, poison: DataFrame, checks: DataFrame) -> D
              .when(F.col("poison_row").isNotNull(), F.col("poison_error"))
              .when(F.coalesce(F.col("rows_accepted"), zero) == 0, F.lit(NO_VALID_ROWS_ERROR)))
     return joined.select(
-        "source_file", "file_size",
+        "source_file", "file_size", "chars", "utf8_ok",
         F.coalesce("rows_accepted", zero).alias("rows_accepted"),
         F.coalesce("rows_skipped", zero).alias("rows_skipped"),
         F.coalesce("rows_read", zero).alias("rows_read"),

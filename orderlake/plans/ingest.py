@@ -18,14 +18,16 @@ import os
 import re
 import uuid
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gates
 from ..operators.classify import POISON, REJECTED, classify, error_type
 from ..schemas import CLEAN_COLUMNS
 from ..session import ensure_conf, staged
+from ..sinks import object_key, write_file_objects
 from ..sources import raw_csv
 
 # Fixed value: the reference's success message.
@@ -47,6 +49,8 @@ class Ingest:
     segments: DataFrame
     outcomes: DataFrame
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    #: UTC time of the run, in the names of the processed objects.
+    stamp: datetime = field(default_factory=lambda: datetime.now(timezone.utc).replace(tzinfo=None))
 
     # ---- row outputs -------------------------------------------------------
     def published(self, with_source: bool = False) -> DataFrame:
@@ -79,24 +83,31 @@ class Ingest:
         """One message per failed file: bucket, key, error, its type, timestamp, request_id."""
         return dead_letters(self.outcomes, self.landing, as_of, request_id or self.run_id)
 
-    def run_summary(self, output_key: str | None = None) -> DataFrame:
-        """Per published file: message, output_key, rows_written."""
+    def write_objects(self, path: str) -> str:
+        """The published rows as one stamped CSV object per input file."""
+        return write_file_objects(self.published(with_source=True), path, self.stamp)
+
+    def run_summary(self) -> DataFrame:
+        """Per published file: message, output_key (see ``write_objects``), rows_written."""
         return (self.outcomes.where(F.col("error").isNull())
                 .select("source_file", F.lit(SUCCESS_MESSAGE).alias("message"),
-                        F.lit(output_key).cast("string").alias("output_key"),
+                        object_key(F.col("source_file"), self.stamp).alias("output_key"),
                         F.col("rows_accepted").alias("rows_written")))
 
 
+def file_key(landing: str) -> Column:
+    """The file's name below the landing folder."""
+    prefix = landing + "/"
+    return F.when(F.col("source_file").startswith(prefix), F.substring("source_file", len(prefix) + 1, 1 << 30)
+                  ).otherwise(F.col("source_file"))
+
+
 def dead_letters(outcomes: DataFrame, landing: str, as_of=None, request_id: str | None = None) -> DataFrame:
     """Messages (schema ``DEAD_LETTER``) of the files with an error."""
     ts = (F.lit(as_of).cast("timestamp_ntz") if as_of is not None
           else F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()))
-    prefix = landing + "/"
-    key = F.when(F.col("source_file").startswith(prefix),
-                 F.substring("source_file", len(prefix) + 1, 1 << 30)
-                 ).otherwise(F.col("source_file"))
     return (outcomes.where(F.col("error").isNotNull())
-            .select(F.lit(landing).alias("bucket"), key.alias("key"), "source_file", "error",
+            .select(F.lit(landing).alias("bucket"), file_key(landing).alias("key"), "source_file", "error",
                     error_type(F.col("error")).alias("error_type"), ts.alias("timestamp"),
                     F.lit(request_id).cast("string").alias("request_id")))
 

@@ -217,6 +217,37 @@ FROM (SELECT count(*) AS n FROM clean_all) rows, (VALUES
   ('month', 'string', 9), ('day', 'string', 10)) t(col_name, data_type, ordinal)
 WHERE n > 0""")
 
+EVENTS = """
+, per_file AS (
+  SELECT file_no, rows_accepted, rows_skipped, error, error IS NULL AS ok, poison_row IS NULL AS finished
+  FROM file_outcome
+), file_events AS (
+  SELECT *, unnest([1, 2, 3, 5, 6, 7, 8, 9]) AS seq FROM per_file
+)
+SELECT file_no, seq, CAST(NULL AS BIGINT) AS row,
+  CASE seq WHEN 1 THEN 'invocation_start' WHEN 2 THEN 's3_read_start' WHEN 3 THEN 's3_read_done'
+           WHEN 5 THEN 'cleaning_done' WHEN 6 THEN 's3_write_start' WHEN 7 THEN 's3_write_done'
+           WHEN 8 THEN CASE WHEN ok THEN 'processing_success' ELSE 'processing_failed' END
+           ELSE 'response' END AS event,
+  CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS detail,
+  CAST(NULL AS DOUBLE) AS computed,
+  CASE WHEN seq = 5 THEN rows_accepted END AS rows_accepted, CASE WHEN seq = 5 THEN rows_skipped END AS rows_skipped,
+  CASE WHEN seq = 7 THEN rows_accepted END AS rows,
+  CASE WHEN seq = 8 AND ok THEN rows_accepted END AS rows_written,
+  CASE WHEN seq = 8 THEN error END AS error,
+  CASE WHEN seq IN (1, 8) THEN 'orderlake-check' END AS request_id,
+  CAST(CASE WHEN seq = 9 THEN 200 END AS INTEGER) AS status_code,
+  CASE WHEN seq = 9 THEN 'File processed successfully' END AS message,
+  CASE WHEN seq = 9 THEN rows_accepted END AS body_rows
+FROM file_events WHERE seq <= 3 OR (seq = 5 AND finished) OR seq = 8 OR ok
+UNION ALL
+SELECT r.file_no, 4, r.row, CASE WHEN r.reason IS NULL THEN 'total_amount_computed' ELSE 'row_skipped' END,
+  r.reason, CASE WHEN r.detail IS NULL THEN r.value END, r.detail,
+  CASE WHEN r.reason IS NULL THEN r.q * r.u END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM file_rows r JOIN file_status s USING (file_no)
+WHERE (r.reason IS NOT NULL AND (s.poison_row IS NULL OR r.row < s.poison_row))
+   OR (r.reason IS NULL AND r.t IS NULL AND (s.poison_row IS NULL OR r.row <= s.poison_row))"""
+
 ORACLES: dict[str, str] = {
     "discover_schema_parquet": DISCOVER_PARQUET,
     "schema_evolution": with_fixture(
@@ -306,9 +337,15 @@ ORACLES: dict[str, str] = {
         f"WHERE ts > (SELECT max(ts) FROM {ERRORS} m) - INTERVAL 14 DAY "
         f"AND ts <= (SELECT max(ts) FROM {ERRORS} m2)"),
     "dead_letter_alarm": ALARM,
+    # The live form goes on until the last message has expired.
+    "dead_letter_alarm_live": ALARM.replace(
+        "(SELECT max(window_start) FROM b)", "(SELECT max(window_start) FROM b) + INTERVAL 14 DAY"),
     "run_summary": with_files(
-        "SELECT file_no, 'File processed successfully' AS message, rows_accepted AS rows_written "
-        "FROM file_outcome WHERE error IS NULL"),
+        "SELECT file_no, 'File processed successfully' AS message, 'orders_processed_20240201000000' AS key_stamp, "
+        "f.rows_accepted AS rows_written, count(*) AS rows_in_object, round(sum(c.total_amount), 2) AS total_in_object "
+        "FROM file_outcome f JOIN clean_all c USING (file_no) WHERE error IS NULL AND c.order_id IS NOT NULL "
+        "GROUP BY file_no, f.rows_accepted"),
+    "run_events": with_files(EVENTS),
     "vip_customers": with_fixture(VIP.format(src="clean_all")),
     "market_performance": with_fixture(MARKET.format(src="clean_all")),
     "product_performance": with_fixture(PRODUCT.format(src="clean_all")),

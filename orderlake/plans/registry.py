@@ -10,6 +10,8 @@ the shared scratch folder (once per session) and report the file's number
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +23,15 @@ from ..operators import monitor, rollups
 from ..operators.classify import ACCEPTED, accepted, classify
 from ..schemas import CLEAN, CLEAN_COLUMNS, FINAL_ORDERS, RAW_COLUMNS
 from ..session import ensure_conf, staged, unique_path
-from ..sinks import (write_clean_csv, write_orders_parquet, write_rollup_csv,
+from ..sinks import (read_file_objects, write_clean_csv, write_orders_parquet, write_rollup_csv,
                      write_rollup_parquet)
 from ..sources import catalog, raw_csv
 from ..sources.fixture import (raw_order_files_frame, raw_orders, read_table, stage_raw_files, upload_raw_files,
                                write_raw_files)
+from ..streaming.alarm import live_alarm
 from ..streaming.file_ingest import clean_rows, ingest_stream
 from . import sql as adhoc
+from .events import run_events
 from .flow import FlowResult, run_flow
 from .incremental import SCHEMAS
 from .ingest import Ingest, ingest
@@ -237,8 +241,32 @@ def q_failure_alerts(spark, sf):
         *_parsed("payload", "error string, cause string"))
 
 
+def _stamped(spark, sf) -> Ingest:
+    return replace(_files(spark, sf), stamp=datetime.fromisoformat(CHECK_AS_OF))
+
+
 def q_run_summary(spark, sf):
-    return _files(spark, sf).run_summary().select(_file_no(), "message", "rows_written")
+    """Each published file's summary, and the rows of the object it names."""
+    ing = _stamped(spark, sf)
+    path = ing.write_objects(unique_path(spark, "processed-objects"))
+    held = read_file_objects(spark, path).groupBy(F.col("object").alias("output_key")).agg(
+        F.count("*").alias("rows_in_object"), F.round(F.sum("total_amount"), 2).alias("total_in_object"))
+    return ing.run_summary().join(held, "output_key", "left").select(
+        _file_no(), "message", F.regexp_extract("output_key", "^(.*)_[0-9a-f]+$", 1).alias("key_stamp"),
+        "rows_written", "rows_in_object", "total_in_object")
+
+
+def q_run_events(spark, sf):
+    """The log of a run, its records read back."""
+    log = run_events(_stamped(spark, sf), "processed", CHECK_REQUEST_ID)
+    fields = ("reason string, value string, detail string, computed double, rows_accepted long, rows_skipped long, "
+              "rows long, rows_written long, error string, request_id string, statusCode int, body string")
+    r = F.from_json("record", f"event string, {fields}")
+    names = [f.split()[0] for f in fields.split(", ")]
+    parsed = log.select(_file_no(), "seq", "row", "event", *[r[n].alias(n) for n in names if n != "body"],
+                        F.get_json_object(r["body"], "$.message").alias("message"),
+                        F.get_json_object(r["body"], "$.rows_written").cast("long").alias("body_rows"))
+    return parsed.withColumnRenamed("statusCode", "status_code")
 
 
 # ---- dead-letter queue monitoring on `events` -------------------------------------
@@ -255,6 +283,26 @@ def q_alarm(spark, sf):
     return monitor.backlog_alarm(_error_events(spark, sf))
 
 
+def q_live_alarm(spark, sf):
+    """The live alarm over the error events, which arrive in three files by
+    time, until the last one has expired (a tick moves time on)."""
+    events = staged(_error_events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")), "queue")
+    folder, out = unique_path(spark, "queue-in"), unique_path(spark, "queue-out")
+    cuts = events.agg(F.percentile_approx(F.unix_micros("ts"), [1 / 3, 2 / 3]).alias("cuts"), F.max("ts").alias("last"))
+    (low, high), last = cuts.select("cuts", F.unix_micros("last").alias("last")).first()
+    at = F.unix_micros("ts")
+    tick = spark.range(1).select(F.lit(None).cast("long").alias("event_id"), F.timestamp_micros(
+        F.lit(last + (14 * 1440 + 20) * 60_000_000)).alias("ts"))
+    for part in (events.where(at <= low), events.where((at > low) & (at <= high)), events.where(at > high), tick):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    query = (live_alarm(stream).writeStream.format("parquet").outputMode("append").option("path", out)
+             .option("checkpointLocation", unique_path(spark, "queue-ckpt")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                                          "arrivals", "backlog", "state")
+
+
 # ---- sinks (write, read back) ----------------------------------------------------
 
 def q_sink_clean_csv(spark, sf):
@@ -439,7 +487,9 @@ QUERIES: dict[str, Query] = {
     "dead_letters": q_dead_letters,
     "dead_letter_retention": q_retention,
     "dead_letter_alarm": q_alarm,
+    "dead_letter_alarm_live": q_live_alarm,
     "run_summary": q_run_summary,
+    "run_events": q_run_events,
     "failure_alerts": q_failure_alerts,
     # aggregations
     "vip_customers": q_vip,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +66,20 @@ def build_session(master: str | None = None, app: str = "orderlake",
     return ensure_conf(spark)
 
 
+@contextmanager
+def conf_for(spark: SparkSession, **settings: str):
+    """Runtime settings (``__`` for a dot) for the actions inside the block."""
+    keys = {k.replace("__", "."): v for k, v in settings.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -124,8 +124,9 @@ def header_names(header: Column) -> Column:
 # ---- file checks --------------------------------------------------------------
 
 def segment_checks(text: DataFrame) -> DataFrame:
-    """Per segment: file_size, first line, utf8_ok, broken (a line leaves a
-    quoted field open), and the numbers of lines beyond the record limit.
+    """Per segment: file_size, characters and bytes without line feeds, first
+    line, utf8_ok, broken (a line leaves a quoted field open), and the numbers
+    of lines beyond the record limit.
 
     ``text``: a text-source frame (batch or one micro-batch). That list is
     hardly ever filled; with it the planner aggregates objects by hash, where
@@ -137,6 +138,7 @@ def segment_checks(text: DataFrame) -> DataFrame:
         F.col("_metadata.file_size").alias("file_size"), mid.alias("mid"), "value")
     return lines.groupBy(*SEGMENT).agg(
         F.max("file_size").alias("file_size"),
+        F.sum(F.length("value")).alias("chars"), F.sum(F.octet_length("value")).alias("octets"),
         F.min_by(F.when(F.col("block_start") == 0, F.col("value")), "mid").alias("first_line"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8_ok"),
         F.bool_or(_leaves_open(F.col("value"))).alias("broken"),
@@ -144,16 +146,18 @@ def segment_checks(text: DataFrame) -> DataFrame:
 
 
 def file_checks(segments: DataFrame) -> DataFrame:
-    """Per file: source_file, file_size, header, names, utf8_ok, broken, error.
+    """Per file: source_file, file_size, chars, header, names, utf8_ok, broken, error.
 
     The header of a file that is ``broken`` may take several lines; it is then
     the first record that ``scan_raw`` puts together, and null here.
     """
     per_file = segments.groupBy("source_file").agg(
         F.max("file_size").alias("file_size"), F.array_agg("first_line").alias("first"),
+        # Line feeds are what the lines lack of the file; each is one character.
+        (F.sum("chars") + F.max("file_size") - F.sum("octets")).alias("chars"),
         F.bool_and("utf8_ok").alias("utf8_ok"), F.bool_or("broken").alias("broken"))
     header = _unreturned(F.col("first")[0])
-    rows = per_file.select("source_file", "file_size", "utf8_ok", "broken",
+    rows = per_file.select("source_file", "file_size", "chars", "utf8_ok", "broken",
                            F.when(~(F.col("broken") & _leaves_open(header)), header).alias("header"))
     return with_names(rows)
 
@@ -161,7 +165,7 @@ def file_checks(segments: DataFrame) -> DataFrame:
 def with_names(files: DataFrame) -> DataFrame:
     """Add names and error to files with their header text."""
     return files.select(
-        "source_file", "file_size", "header", header_names(F.col("header")).alias("names"), "utf8_ok", "broken",
+        "source_file", "file_size", "chars", "header", header_names(F.col("header")).alias("names"), "utf8_ok", "broken",
         F.when(~F.col("utf8_ok"), F.lit(BAD_ENCODING_ERROR))
          .when(F.col("header") == "", F.lit(MISSING_HEADERS_ERROR))
          .otherwise(csv_error(F.col("header"))).alias("error"))
@@ -171,7 +175,8 @@ def empty_files(files: DataFrame, seen: DataFrame) -> DataFrame:
     """The zero-byte files of a listing, in the form of ``file_checks``
     (without those of ``seen``: source_file). Spark's sources skip them."""
     return (files.where("file_size = 0").join(seen.select("source_file"), "source_file", "left_anti")
-            .select("source_file", F.lit(0).cast("long").alias("file_size"), F.lit(None).cast("string").alias("header"),
+            .select("source_file", F.lit(0).cast("long").alias("file_size"), F.lit(0).cast("long").alias("chars"),
+                    F.lit(None).cast("string").alias("header"),
                     F.lit(None).cast("array<string>").alias("names"), F.lit(True).alias("utf8_ok"),
                     F.lit(False).alias("broken"), F.lit(MISSING_HEADERS_ERROR).alias("error")))
 
