@@ -262,6 +262,20 @@ ORACLES: dict[str, str] = {
     "orders_follow_source": with_files(f"SELECT {FINAL_COLS} FROM {PUBLISHED} p"),
     "processed_ledger": with_files(
         "SELECT file_no, CASE WHEN error IS NULL THEN rows_accepted ELSE 0 END AS rows_published FROM file_outcome"),
+    "schema_changes": with_fixture("""
+SELECT CAST(c.version AS INTEGER) AS version, col_name, change, old_type, found_type, table_type, rows
+FROM (VALUES (2, 'country', 'added', NULL, 'string', 'string'), (2, 'channel', 'vanished', 'string', NULL, 'string'),
+      (2, 'quantity', 'retyped', 'int', 'bigint', 'bigint'), (3, 'channel', 'vanished', 'string', NULL, 'string'),
+      (3, 'unit_price', 'retyped', 'double', 'bigint', 'double'), (3, 'order_id', 'retyped', 'bigint', 'string', 'string')
+     ) c(version, col_name, change, old_type, found_type, table_type)
+JOIN (SELECT CASE WHEN year <= 1994 THEN 1 WHEN year <= 1996 THEN 2 ELSE 3 END AS version, count(*) AS rows
+      FROM clean_all GROUP BY 1) r USING (version)"""),
+    "evolved_table": with_fixture("""
+SELECT year, count(*) AS rows, count(*) FILTER (WHERE year > 1994) AS with_country,
+  count(*) FILTER (WHERE year <= 1994) AS with_channel, CAST(sum(quantity) AS BIGINT) AS units,
+  round(sum(CASE WHEN year > 1996 THEN floor(unit_price) ELSE unit_price END), 2) AS prices,
+  max(CAST(order_id AS VARCHAR)) AS last_order_text
+FROM clean_all GROUP BY year"""),
     "pipeline_end_to_end": with_files(
         f"SELECT *, {LABELS} FROM ({MARKET.format(src=PUBLISHED + ' p')})"),
     "discover_schema": DISCOVER,

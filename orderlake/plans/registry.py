@@ -366,6 +366,45 @@ def q_schema_evolution(spark, sf):
         F.count_distinct("country").alias("countries"))
 
 
+_EVOLVED: dict[tuple, tuple[str, list]] = {}
+
+
+def _evolved(spark, sf) -> tuple[str, list]:
+    """The clean orders as three deliveries of other schemas, by year: to 1994
+    without country, with a channel and small quantities; to 1996 with country,
+    without channel; then with whole prices and order ids as text."""
+    key = (sf.rstrip("/"), spark.sparkContext.applicationId)
+    if key not in _EVOLVED:
+        clean, year = staged(_clean(spark, sf), "evolving"), F.col("year")
+        first = clean.where(year <= 1994).drop("country").withColumn("channel", F.lit("web")).withColumn(
+            "quantity", F.col("quantity").cast("int"))
+        second = clean.where((year > 1994) & (year <= 1996))
+        third = clean.where(year > 1996).withColumn("unit_price", F.floor("unit_price").cast("bigint")).withColumn(
+            "order_id", F.col("order_id").cast("string"))
+        folders = [unique_path(spark, f"delivery-{i}") for i in (1, 2, 3)]
+        for part, folder in zip((first, second, third), folders):
+            part.write.parquet(folder)
+        table = f"orderlake_check.deliveries_{folders[0][-12:]}"
+        _EVOLVED[key] = table, catalog.register_evolving(spark, table, folders)
+    return _EVOLVED[key]
+
+
+def q_schema_changes(spark, sf):
+    """The log of changed columns, with the rows of each delivery."""
+    table, log = _evolved(spark, sf)
+    version = F.when(F.col("year") <= 1994, 1).when(F.col("year") <= 1996, 2).otherwise(3)
+    rows = spark.table(table).groupBy(version.alias("version")).agg(F.count("*").alias("rows"))
+    return spark.createDataFrame(log, catalog.CHANGE_LOG).join(rows, "version")
+
+
+def q_evolved_table(spark, sf):
+    """All deliveries read through the evolved table."""
+    return spark.table(_evolved(spark, sf)[0]).groupBy("year").agg(
+        F.count("*").alias("rows"), F.count("country").alias("with_country"), F.count("channel").alias("with_channel"),
+        F.sum("quantity").alias("units"), F.round(F.sum("unit_price"), 2).alias("prices"),
+        F.max("order_id").alias("last_order_text"))
+
+
 def _orders_view(spark, sf) -> str:
     name = "orderlake_final_orders"
     catalog.read_final_orders(spark, _final_orders(spark, sf)).createOrReplaceTempView(name)
@@ -458,6 +497,8 @@ QUERIES: dict[str, Query] = {
     "discover_schema": q_discover_schema,
     "discover_schema_parquet": q_discover_schema_parquet,
     "schema_evolution": q_schema_evolution,
+    "schema_changes": q_schema_changes,
+    "evolved_table": q_evolved_table,
     "scan_final_orders_by_day": q_scan_final_orders_by_day,
     # projection and scalar functions
     "clean_orders": q_clean_orders,

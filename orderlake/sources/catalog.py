@@ -12,6 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import FINAL_ORDERS
 from ..session import ensure_conf
@@ -74,6 +75,76 @@ def register_table(spark: SparkSession, table: str, path: str, fmt: str = "parqu
     return table
 
 
+# Types that hold every value of the types before them.
+_WIDER = (("tinyint", "smallint", "int", "bigint"), ("float", "double"), ("date", "timestamp"))
+_WHOLE, _REAL = _WIDER[0], _WIDER[1]
+
+
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that both can be read as: along the whole numbers,
+    the reals or the times; double for a whole number and a real; else text."""
+    x, y = a.simpleString(), b.simpleString()
+    if x == y:
+        return a
+    for chain in _WIDER:
+        if x in chain and y in chain:
+            return a if chain.index(x) > chain.index(y) else b
+    if {x, y} <= {*_WHOLE, *_REAL}:
+        return T.DoubleType()
+    return T.StringType()
+
+
+ADDED, RETYPED, VANISHED = "added", "retyped", "vanished"
+
+
+def evolve(table: T.StructType, found: T.StructType) -> tuple[T.StructType, list[tuple]]:
+    """(the table's schema after files with the schema ``found`` have come,
+    changes as (col_name, change, old_type, found_type, table_type)).
+
+    Columns are matched without regard to case. New ones go to the end, a type
+    that does not hold the files' values becomes wider, and a column that the
+    files lack stays (a delete is only logged)."""
+    new = {f.name.lower(): f for f in found.fields}
+    out, changes = [], []
+    for f in table.fields:
+        g = new.pop(f.name.lower(), None)
+        if g is None:
+            changes.append((f.name, VANISHED, f.dataType.simpleString(), None, f.dataType.simpleString()))
+            out.append(f)
+            continue
+        both = wider_type(f.dataType, g.dataType)
+        if g.dataType != f.dataType:
+            changes.append((f.name, RETYPED, f.dataType.simpleString(), g.dataType.simpleString(), both.simpleString()))
+        out.append(T.StructField(f.name, both))
+    for f in found.fields:
+        if f.name.lower() in new:
+            changes.append((f.name, ADDED, None, f.dataType.simpleString(), f.dataType.simpleString()))
+            out.append(T.StructField(f.name, f.dataType))
+    return T.StructType(out), changes
+
+
+def evolve_folders(spark: SparkSession, folders: list[str]) -> tuple[T.StructType, list[tuple]]:
+    """The schema that holds all Parquet folders, in the order they came, and
+    the changes as (version, ...) with the first folder as version 1."""
+    schema, log = None, []
+    for version, folder in enumerate(folders, 1):
+        found = discover_parquet_schema(spark, folder)
+        schema, changes = (found, []) if schema is None else evolve(schema, found)
+        log += [(version, *c) for c in changes]
+    return schema, log
+
+
+def register_evolving(spark: SparkSession, view: str, folders: list[str]) -> list[tuple]:
+    """Register the folders as one table whose columns follow their schemas;
+    returns the changes. Older rows are read as the wider type."""
+    schema, log = evolve_folders(spark, folders)
+    register_view(spark, view, folders, schema)
+    return log
+
+
+CHANGE_LOG = "version int, col_name string, change string, old_type string, found_type string, table_type string"
+
+
 def register_view(spark: SparkSession, view: str, folders: list[str], schema) -> str:
     """A view of exactly these Parquet folders, replaced in one statement (no
     folders: an empty one). Columns are cast to the schema, so the folders may

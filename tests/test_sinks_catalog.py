@@ -147,3 +147,55 @@ def test_run_flow_retry_after_a_failure(spark, tmp_path, monkeypatch):
     assert flow.read_dead_letters(spark, work).count() == 1
     alert = json.loads(flow.flow_alerts(spark, work).first()["payload"])
     assert (alert["error"], alert["cause"]) == ("ZeroDivisionError", "division by zero")
+
+
+def test_wider_types_and_changes(spark, tmp_path):
+    from pyspark.sql import types as T
+    ddl = T.StructType.fromDDL
+    wider = lambda a, b: catalog.wider_type(ddl(f"x {a}")[0].dataType, ddl(f"x {b}")[0].dataType).simpleString()
+    for a, b, want in (("int", "bigint", "bigint"), ("bigint", "int", "bigint"), ("float", "int", "double"),
+                       ("date", "timestamp", "timestamp"), ("int", "date", "string"), ("string", "int", "string"),
+                       ("boolean", "boolean", "boolean")):
+        assert wider(a, b) == want, (a, b)
+    schema, log = catalog.evolve(ddl("a int, b string"), ddl("A double, c date"))
+    assert schema.simpleString() == "struct<a:double,b:string,c:date>"
+    assert log == [("a", "retyped", "int", "double", "double"), ("b", "vanished", "string", None, "string"),
+                   ("c", "added", None, "date", "date")]
+    folders = [str(tmp_path / n) for n in "xy"]
+    spark.sql("SELECT 1 AS a, 'p' AS b").write.parquet(folders[0])
+    spark.sql("SELECT 2.5D AS a").write.parquet(folders[1])
+    assert catalog.register_evolving(spark, "orderlake_test.evolving", folders) == [
+        (2, "a", "retyped", "int", "double", "double"), (2, "b", "vanished", "string", None, "string")]
+    assert _bag(spark.table("orderlake_test.evolving").fillna("-")) == [(1.0, "p"), (2.5, "-")]
+
+
+def test_one_stamped_object_per_file(spark, tmp_path):
+    import datetime
+
+    from orderlake.plans.events import run_events
+    from orderlake.plans.ingest import ingest
+    from orderlake.sinks import read_file_objects
+    head = "OrderID,CustomerEmail,Country,Product,Quantity,UnitPrice,OrderDate,TotalAmount\n"
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    text = head + "1,a@b.com,Perú,Pen,2,1.5,2024-01-02,\n2,a@b.com,Peru,Pen,x,1.5,2024-01-02,3\r\n"
+    (landing / "a.csv").write_bytes(text.encode())
+    (landing / "b.csv").write_text(head + "3,a@b.com,Peru,Pen,1,1.5,2024-01-02,1")
+    (landing / "bad.csv").write_text(head + "x,a@b.com,Peru,Pen,1,1.5,2024-01-02,1\n")
+    ing = ingest(spark, str(landing))
+    ing.stamp = datetime.datetime(2024, 5, 6, 7, 8, 9)
+    path = ing.write_objects(str(tmp_path / "processed"))
+    keys = {r["source_file"].rsplit("/", 1)[-1]: r["output_key"] for r in ing.run_summary().collect()}
+    held = {r["object"]: r["n"] for r in read_file_objects(spark, path).groupBy("object").agg(F.count("*").alias("n")).collect()}
+    assert keys.keys() == {"a.csv", "b.csv"} and held == {keys["a.csv"]: 1, keys["b.csv"]: 1}
+    assert all(k.startswith("orders_processed_20240506070809_") for k in held)
+    log = run_events(ing, "out", "req").orderBy("seq", "row").collect()
+    of = lambda n: [(r["event"], json.loads(r["record"])) for r in log if r["source_file"].endswith(n)]
+    assert [e for e, _ in of("a.csv")] == [
+        "invocation_start", "s3_read_start", "s3_read_done", "total_amount_computed", "row_skipped", "cleaning_done",
+        "s3_write_start", "s3_write_done", "processing_success", "response"]
+    records = dict(of("a.csv"))
+    assert records["s3_read_done"] == {"event": "s3_read_done", "key": "a.csv", "bytes": len(text)}
+    assert json.loads(records["response"]["body"]) == {
+        "message": "File processed successfully", "output_key": keys["a.csv"], "rows_written": 1}
+    assert [e for e, _ in of("bad.csv")][-1] == "processing_failed"
