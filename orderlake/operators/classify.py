@@ -24,7 +24,9 @@ The checks run in the reference's order; the first failing one decides:
     otherwise              → accepted (total computed when blank or junk)
 
 A poisoned row makes its whole file fail (see ``gates``). Everything is a
-single ``select`` of built-in expressions, so it stays in whole-stage codegen.
+chain of ``select``s of built-in expressions. As one method their code would be
+larger than what the JVM compiles, so ``ensure_conf`` has Spark generate it as
+split projections.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 from ..functions import (date_fields, date_from_fields, date_parts, email_from_stripped,
                          float_from_stripped, int_from_stripped, py_repr, pytrim)
 from ..schemas import CLEAN_COLUMNS, RAW_COLUMNS
+from ..session import ensure_conf
 
 # Clean values are computed for every row; they are meaningful only where
 # ``status`` is accepted, which is what ``accepted`` selects.
@@ -94,6 +97,7 @@ def classify(raw: DataFrame) -> DataFrame:
     derive the texts from it, each referring to the previous one's columns,
     so no parser runs twice.
     """
+    ensure_conf(raw.sparkSession)
     c = {n: F.col(n) for n in RAW_COLUMNS}
     none = {n: c[n].isNull() for n in RAW_COLUMNS}
     # Spark names are case-insensitive: raw "Country" would clash with the

@@ -35,10 +35,20 @@ SCALE_CONF = {
 }
 
 
+# The JVM interprets methods of more than 8,000 bytes instead of compiling them.
+# Row classification makes larger ones if a whole stage becomes one method;
+# with this limit Spark runs such a stage as projections, which it splits into
+# small methods (measured: 4.4 s -> 2.1 s for 600,000 rows).
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+METHOD_LIMIT_DEFAULT, METHOD_LIMIT_JVM = "65535", "8000"
+
+
 def ensure_conf(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    if spark.conf.get(METHOD_LIMIT) == METHOD_LIMIT_DEFAULT:  # the caller's choice stays
+        spark.conf.set(METHOD_LIMIT, METHOD_LIMIT_JVM)
     return spark
 
 

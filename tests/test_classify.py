@@ -135,3 +135,21 @@ def test_fixture_counts_sf0001(spark, sf):
     assert got[("rejected", "invalid_quantity")] == 539
     assert got[("rejected", "invalid_unit_price")] == 118
     assert c.where("total_was_computed").count() == 1061
+
+
+def test_no_method_beyond_what_the_jvm_compiles(spark, sf):
+    """Stages whose one method would be too large run as split projections."""
+    from orderlake.operators.classify import classify
+    from orderlake.session import METHOD_LIMIT
+    from orderlake.sources.fixture import raw_orders
+    df = classify(raw_orders(spark, sf))
+    assert int(spark.conf.get(METHOD_LIMIT)) <= 8000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = classify(raw_orders(spark, sf))._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(plan)
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert sizes and max(sizes) < 65535 and df.count() > 0
