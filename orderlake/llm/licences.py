@@ -13,7 +13,8 @@ Equal units are scored once.
 A file with a unit of its own that reaches the threshold has that licence.
 Licence files (LICENSE, LICENCE, COPYING, by name) give theirs to their
 directory; every other file inherits from the nearest directory above it: its
-ancestor directories are joined with the licensed ones, the deepest wins.
+ancestor directories, the root too, are joined with the licensed ones, the
+deepest wins.
 
 Edge cases: null texts and paths are empty; an empty text or path has no
 licence of its own; ties go to the alphabetically first licence; repeated rows
@@ -132,10 +133,10 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, templates: dict[str, st
                 .agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("best"))
                 .select(F.col("dir").alias("above"), F.col("best.licence").alias("dir_licence"),
                         (-F.col("best.c")).alias("dir_cosine")))
-    # Ancestors of a directory: a, a/b, a/b/c with their depths.
+    # Ancestors of a directory: the root, a, a/b, a/b/c with their depths.
     parts = F.split("dir", "/")
     bare = keys.where(F.col("licence").isNull()).select("dir").distinct()
-    steps = bare.select("dir", F.explode(F.sequence(F.lit(1), F.size(parts))).alias("depth"))
+    steps = bare.select("dir", F.explode(F.sequence(F.lit(0), F.size(parts))).alias("depth"))
     found = (steps.withColumn("above", F.array_join(F.slice(parts, F.lit(1), F.col("depth")), "/")).join(licensed, "above")
              .groupBy("dir").agg(F.max(F.struct("depth", "above", "dir_licence", "dir_cosine")).alias("near")))
     how = (F.when(F.col("licence").isNotNull() & F.col("is_licence"), "file").when(F.col("licence").isNotNull(), "header")
