@@ -3,9 +3,10 @@
 A sentence ends with ".", "!" or "?" before white space, or with a line break;
 it carries the white space after it.  From every sentence one span runs
 forwards and one backwards: the shortest run of at least two sentences and
-`least_words` words.  So each sentence of a longer repeated passage lies in a
-span inside the passage, and no span is short enough to repeat by chance.
-Spans are hashed (64 bits, sentences lower-cased in ASCII and trimmed) and
+`least_words` words.  By default there is no such floor: the spans are all
+runs of two sentences, which cover every run of several, as a run repeats
+only where each of its pairs does.  With a floor each sentence of a longer
+repeated passage lies in a span inside the passage.  Spans are hashed (64 bits, sentences lower-cased in ASCII and trimmed) and
 aggregated over all documents; a span that also occurs in a document with a
 smaller doc_id, or earlier in its own, is removed with all its sentences.
 
@@ -17,6 +18,8 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import U64, ascii_lower, flat, mix, prepare, slices, span_hash, staged, texts
 
-LEAST_WORDS = 20
+LEAST_WORDS = 0
 NO_ID = -(1 << 63)
 
 _SPACE = np.zeros(256, bool)
@@ -84,12 +87,12 @@ def spans(data: np.ndarray, offsets: np.ndarray, least_words: int = LEAST_WORDS)
     return (key, a, b, doc[a]), found
 
 
-def _emit(batches):
+def _emit(batches, least_words):
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         data, offsets = flat(batch.column("text"))
         for i, j in slices(offsets):
-            (key, _, _, doc), _ = spans(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            (key, _, _, doc), _ = spans(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], least_words)
             # Each span once for a document; which sentences it has is found
             # again beside the text.
             _, at = np.unique(mix(key + mix(doc.astype(U64))), return_index=True)
@@ -97,14 +100,14 @@ def _emit(batches):
                                              ["span", "doc_id"])
 
 
-def _remove(batches):
+def _remove(batches, least_words):
     for batch in batches:
         ids = batch.column("doc_id")
         data, offsets = flat(batch.column("text"))
         repeats, at = flat(batch.column("repeated"))
         for i, j in slices(offsets):
             part, inner = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-            (key, a, b, doc), (start, end, words, of) = spans(part, inner)
+            (key, a, b, doc), (start, end, words, of) = spans(part, inner, least_words)
             rows = repeats[at[i]:at[j]].view(U64) if at[j] > at[i] else np.zeros(0, U64)
             row_doc = np.repeat(np.arange(j - i), np.diff(at[i:j + 1]) // 8)
             hit = np.isin(mix(key + mix(doc.astype(U64))), mix(rows + mix(row_doc.astype(U64))))
@@ -134,12 +137,12 @@ def _remove(batches):
                 ["doc_id", "n_sentences", "n_removed", "text"])
 
 
-def remove_repeated_spans(docs: DataFrame) -> DataFrame:
+def remove_repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """Per document: doc_id, n_sentences, n_removed, text (what is left)."""
     prepare(docs.sparkSession)
     rows = texts(docs)
     found = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").mapInArrow(
-        _emit, "span long, doc_id long")
+        partial(_emit, least_words=least_words), "span long, doc_id long")
     first = (found.groupBy("span").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
              .where("first < last").select("span", "first"))
     repeated = (found.join(first, "span").where("doc_id > first").groupBy("doc_id")
@@ -148,7 +151,7 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     packed = repeated.mapInArrow(_pack, "doc_id long, repeated binary")
     joined = rows.join(staged(packed, "repeated"), "doc_id", "left").select(
         "doc_id", "text", F.coalesce("repeated", F.lit(b"")).alias("repeated"))
-    return joined.mapInArrow(_remove, "doc_id long, n_sentences long, n_removed long, text string")
+    return joined.mapInArrow(partial(_remove, least_words=least_words), "doc_id long, n_sentences long, n_removed long, text string")
 
 
 def _pack(batches):

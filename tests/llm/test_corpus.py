@@ -86,12 +86,15 @@ def brute_sentences(text):
     return [m for m in re.split(r"(?<=[.!?])[ \t\n\r\x0b\x0c]+|[ \t\r\x0b\x0c]*\n[ \t\n\r\x0b\x0c]*", text.strip(" \t\n\r\x0b\x0c")) if m]
 
 
-def test_op2_spans(docs, rows, empty):
+@pytest.mark.parametrize("least", [0, 20])
+def test_op2_spans(docs, rows, empty, least):
     def spans(s):
         n, out = [len(re.findall(r"[^ \t\n\r\x0b\x0c]+", x)) for x in s], set()
+        if not least:  # every run of two sentences or more
+            return [(i, j) for i in range(len(s)) for j in range(i + 1, min(len(s), i + 9))]
         for i in range(len(s)):
-            j = next((j for j in range(i + 1, len(s)) if sum(n[i:j + 1]) >= 20), None)
-            k = next((k for k in range(i - 1, -1, -1) if sum(n[k:i + 1]) >= 20), None)
+            j = next((j for j in range(i + 1, len(s)) if sum(n[i:j + 1]) >= least), None)
+            k = next((k for k in range(i - 1, -1, -1) if sum(n[k:i + 1]) >= least), None)
             out |= {(i, j)} if j is not None else set()
             out |= {(k, i)} if k is not None else set()
         return sorted(out)
@@ -111,12 +114,23 @@ def test_op2_spans(docs, rows, empty):
             if first[k] < ids(i) or k in seen:
                 gone |= set(range(a, b + 1))
             seen.add(k)
-        want.append((i, len(s), len(gone)))
-    out = sentence_spans.remove_repeated_spans(docs)
-    assert got(out, "doc_id", "n_sentences", "n_removed") == sorted(want, key=repr)
+        want.append((i, len(s), len(gone), [x for n, x in enumerate(s) if n not in gone]))
+    out = sentence_spans.remove_repeated_spans(docs, least)
+    left = [(r["doc_id"], r["n_sentences"], r["n_removed"], brute_sentences(r["text"])) for r in out.collect()]
+    assert [x[:3] for x in sorted(left, key=repr)] == [x[:3] for x in sorted(want, key=repr)]
+    # What is left is the sentences that stay, also after they have moved together.
+    joined = lambda xs: sorted((i, "".join("".join(s).split())) for i, *_, s in xs if i is not None)
+    assert joined(left) == joined(want)
     clean = {r["doc_id"]: r["text"] for r in out.where("n_removed = 0 and doc_id < 40").collect()}
     assert all(clean[r[0]] == r[1] for r in rows if r[0] in clean and r[0] != 3)
-    assert sentence_spans.remove_repeated_spans(empty).count() == 0
+    assert sentence_spans.remove_repeated_spans(empty, least).count() == 0
+
+
+def test_op2_short_sentences(spark):
+    docs = spark.createDataFrame([(1, "Click here now. Buy one today."), (2, "Own words. Click here now. Buy one today. More."),
+                                  (3, "click here NOW.  Buy one today.")], "doc_id long, text string")
+    out = {r["doc_id"]: (r["n_removed"], r["text"]) for r in sentence_spans.remove_repeated_spans(docs).collect()}
+    assert out == {1: (0, "Click here now. Buy one today."), 2: (2, "Own words. More."), 3: (2, "")}
 
 
 def test_op3_substrings(docs, rows, empty):
