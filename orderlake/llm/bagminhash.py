@@ -15,17 +15,26 @@ cut into BANDS of ROWS slots; with 40 bands of 5 a pair of similarity 0.8 has
 no band in common once in ten million.  In each band every member is compared
 with one centre (linear in the size of a group, whatever it is); bands choose
 their centres by eight different orders, so that copies of a common text that
-are too far from one of them meet another.  Verified pairs join.  Members of one
-band that are still apart are compared within their band where their lengths
-and signatures allow 0.8; a large group is dealt into blocks, and each pair of
-blocks is a task of its own, so no task holds a whole group.  A pair counts
-only if the overlap of the two multisets reaches the threshold.
+are too far from one of them meet another.  Verified pairs join classes.
+
+Members of one band that are still in several classes are compared within their
+band where their lengths and signatures allow the threshold, in rounds.  A round
+tells a forest over the classes: at most one candidate for each two classes, so
+fewer pairs than classes, not one for each two members.  The pairs are verified
+and join classes.  A task whose pairs all hold is done, since its candidates lie
+inside classes then; one with a pair that fails is looked at again without it,
+with GROWTH times as many forests, until none fails: no candidate between two
+classes is left out.  A large group is dealt into blocks, and each pair of blocks
+is a task of its own, so no task holds a whole group.  A pair counts only if the
+overlap of the two multisets reaches the threshold.
 
 Edge cases: documents of fewer than five words are one shingle of all their
 words; those without any word (null, empty) are equal to each other only; ties
-go to the smallest doc_id; repeated rows join their class; a null doc_id is
-dropped from the result, as it cannot name a class; an empty table gives an
-empty result; extra columns are ignored.
+go to the smallest doc_id; a row is named by a 64-bit hash of its doc_id and text,
+so different texts under one doc_id are documents of their own, and rows that
+repeat both are one; a null doc_id is dropped from the result, as it cannot name
+a class, and stays in `keep_one`; an empty table gives an empty result; extra
+columns are ignored or, in `keep_one`, passed through, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, flat, mix, prepare, shingles, slices, staged, texts
+from .common import U64, flat, mix, prepare, row_name, shingles, slices, spare_column, staged, texts
 from .tiling import lower_words
 
 SHINGLE = 5
@@ -44,6 +53,8 @@ SLOTS = BANDS * ROWS
 THRESHOLD = 0.8
 LEAST_AGREEMENT = 0.68  # of slots; at similarity 0.8 less has probability 2e-5
 CELLS = 2048  # of the counts that bound the overlap of two documents from above
+GROWTH = 8  # times as many forests in each further round
+TASK = ["band", "hash", "low", "high"]  # two blocks of a group
 BLOCK = 2000  # members of a group that one task holds twice at most
 CENTRES = 8  # orders of the documents; each band takes its smallest member by one of them
 
@@ -116,7 +127,7 @@ def cells(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int) -> np.
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """doc_id, size, set_hash, bands, signature of each document."""
+    """doc_id, own_id, size, set hash, bands, signature, cells of each row."""
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -135,15 +146,15 @@ def _scan(docs: DataFrame) -> DataFrame:
                     for r in range(ROWS):
                         band = mix(band * U64(31) + sign[:, r::ROWS])
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(ids[i:j], pa.int64()), "size": size,
+                    "doc_id": pa.array(ids[i:j], pa.int64()), "own_id": batch.column("own_id")[i:j], "size": size,
                     "set_a": whole[:, 0].view(np.int64), "set_b": whole[:, 1].view(np.int64),
                     "bands": pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * BANDS,
                                                       pa.array(band.reshape(-1).view(np.int64))),
                     "signature": [s.tobytes() for s in sign],
                     "cells": [c.tobytes() for c in cells(doc, key, count, n)]})
 
-    rows = docs.select("doc_id", F.lower("text").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, size long, set_a long, set_b long, bands array<long>, signature binary, cells binary")
+    rows = docs.select("doc_id", "own_id", F.lower("text").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, own_id long, size long, set_a long, set_b long, bands array<long>, signature binary, cells binary")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
@@ -171,7 +182,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
                 ok[i:j] = both_n >= threshold * total - 1e-9
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    # Rows that repeat doc_id and text have one name.
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -199,60 +211,104 @@ def components(links: DataFrame) -> DataFrame:
                        .unionByName(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "small-star")
 
 
-def _apart(members: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one band whose classes differ and whose lengths and signatures
-    allow the threshold, each once. members: band, hash, n (members of the group), doc_id,
-    class_id, size, signature, cells (their common counts are at least the
-    overlap)."""
-    def run(key, table):
+def _forest(doc, cls, size, block, sign, cell, band, one_block, threshold, known):
+    """Candidate pairs (places in the arrays, sorted by size) that join all
+    classes which any candidate outside `known` joins: for each member its best
+    candidate in every class that it is not joined to yet."""
+    root = np.unique(cls, return_inverse=True)[1]
+    full = (cell == 255).all(1)  # their counts do not fit: two of those have no bound
+    out = []
+    for i in range(len(doc) - 1):
+        j = int(np.searchsorted(size, size[i] / threshold + 1e-9, "right"))
+        other = np.arange(i + 1, j)
+        other = other[(root[other] != root[i]) & (one_block | (block[other] != block[i]))]
+        if not len(other):
+            continue
+        same = sign[other] == sign[i]
+        agree = same.mean(1)
+        # A pair belongs to the first band that it shares.
+        near = (agree >= LEAST_AGREEMENT) & (same.reshape(len(other), BANDS, ROWS).all(2).argmax(1) == band)
+        other, agree = other[near], agree[near]
+        least = threshold / (1 + threshold) * (size[i] + size[other]) - 1e-6
+        bound = np.minimum(cell[other], cell[i]).sum(1, dtype=np.int64)
+        near = ((bound >= least) | (full[other] & full[i])) & ~np.isin(i * len(doc) + other, known)
+        other, agree = other[near], agree[near]
+        if len(other):
+            order = np.argsort(-agree, kind="stable")
+            best = other[order[np.unique(root[other[order]], return_index=True)[1]]]
+            out += [(i, int(k)) for k in best]
+            root[np.isin(root, root[best])] = root[i]
+    return out
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Each member once for every pair of its block with a block of its group."""
+    blocks = F.ceil(F.col("n") / BLOCK)
+    return (members.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks))
+            .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+            .withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("n", "with"))
+
+
+def _apart(members: DataFrame, threshold: float, failed: DataFrame | None = None, forests: int = 1) -> DataFrame:
+    """(task, a, b): candidate pairs of one band whose classes differ and whose
+    lengths and signatures allow the threshold, `forests` times as many as it
+    takes to join the classes at most. members: band, hash, n (members of the
+    group), doc_id, class_id, size, signature, cells (their common counts are at
+    least the overlap). failed: (task, a, b) that are no links; only their
+    tasks are looked at then."""
+    def run(key, table, without):
+        if not table.num_rows:
+            return pa.table({**{k: pa.array([], v.type) for k, v in zip(TASK, key)},
+                             "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         rows = table.to_pandas().sort_values(["size", "doc_id"])
         doc, cls, size, block = (rows[c].to_numpy(np.int64) for c in ("doc_id", "class_id", "size", "block"))
         sign = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), SLOTS)
         cell = np.frombuffer(b"".join(rows["cells"]), np.uint8).reshape(len(rows), CELLS)
-        full = (cell == 255).all(1)  # their counts do not fit: two of those have no bound
-        one_block = key[2].as_py() == key[3].as_py()
-        out_a, out_b = [], []
-        for i in range(len(doc) - 1):
-            j = int(np.searchsorted(size, size[i] / threshold + 1e-9, "right"))
-            other = np.arange(i + 1, j)
-            other = other[(cls[other] != cls[i]) & (one_block | (block[other] != block[i]))]
-            if len(other):
-                other = other[(sign[other] == sign[i]).mean(1) >= LEAST_AGREEMENT]
-                least = threshold / (1 + threshold) * (size[i] + size[other]) - 1e-6
-                bound = np.minimum(cell[other], cell[i]).sum(1, dtype=np.int64)
-                other = other[(bound >= least) | (full[other] & full[i])]
-                # A pair is told once: by the first band that it shares.
-                shared = (sign[other] == sign[i]).reshape(len(other), BANDS, ROWS).all(2)
-                other = other[shared.argmax(1) == key[0].as_py()]
-                out_a += [doc[i]] * len(other)
-                out_b += doc[other].tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-
-    # Each member goes to the pairs of its block with every block of its group.
-    blocks = F.ceil(F.col("n") / BLOCK)
-    dealt = (members.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks))
-             .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-             .withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("n", "with"))
-    return dealt.groupBy("band", "hash", "low", "high").applyInArrow(run, "a long, b long").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per document: doc_id, class_id (smallest doc_id of its class), n_links
-    (verified links of its representative), class_size."""
-    prepare(docs.sparkSession)
-    rows = texts(docs).where("doc_id is not null")
+        place = dict(zip(doc.tolist(), range(len(doc))))
+        known = np.array([min(x, y) * len(doc) + max(x, y) for a, b in zip(without.column("a").to_pylist(), without.column("b").to_pylist())
+                          for x, y in [(place[a], place[b])]], np.int64)
+        band, low, high = (key[k].as_py() for k in (0, 2, 3))
+        told = []
+        for _ in range(forests):
+            more = _forest(doc, cls, size, block, sign, cell, band, low == high, threshold, known)
+            if not more:
+                break
+            told += more
+            known = np.concatenate([known, np.array([i * len(doc) + j for i, j in more], np.int64)])
+        ends = doc[np.array(told, np.int64).reshape(-1, 2)]
+        return pa.table({**{k: pa.array([v.as_py()] * len(told), v.type) for k, v in zip(TASK, key)},
+                         "a": ends.min(1, initial=np.iinfo(np.int64).max), "b": ends.max(1, initial=np.iinfo(np.int64).min)})
+
+    dealt = _dealt(members)
+    if failed is None:
+        failed = members.sparkSession.range(0).selectExpr("int(id) band", "id hash", "id low", "id high", "id a", "id b")
+    else:
+        dealt = dealt.join(failed.select(*TASK).distinct(), TASK, "left_semi")
+    return dealt.groupBy(*TASK).cogroup(failed.groupBy(*TASK)).applyInArrow(
+        run, "band int, hash long, low long, high long, a long, b long")
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """(doc_id, own_id, text): rows named by their own doc_id and text."""
+    return texts(docs).where("doc_id is not null").select(row_name("doc_id", "text").alias("doc_id"),
+                                                          F.col("doc_id").alias("own_id"), "text")
+
+
+def _classes(rows: DataFrame, threshold: float) -> DataFrame:
+    """Per row of _named: doc_id, own_id, size, class (name of one member),
+    verified_links (of its representative)."""
+    prepare(rows.sparkSession)
     signed = staged(_scan(rows), "signatures")
     same = ["size", "set_a", "set_b"]
     first = signed.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    member = staged(signed.select("doc_id", *same).join(first, same).select("doc_id", "rep"), "members")
+    member = staged(signed.select("doc_id", "own_id", *same).join(first, same).select("doc_id", "own_id", "size", "rep"), "members")
     reps = member.where("doc_id = rep").select("doc_id").distinct()
     signed = staged(signed.where("size > 0").join(reps, "doc_id").dropDuplicates(["doc_id"])
                     .select("doc_id", "size", "bands", "signature", "cells"), "representatives")
 
     banded = signed.select("doc_id", "size", F.posexplode("bands").alias("band", "hash"))
-    # An order of the ids for each eighth of the bands: the smallest id after
-    # flipping some of its bits.
+    # An order of the names for each eighth of the bands: the smallest name
+    # after flipping some of its bits.
     order = F.shiftrightunsigned(F.xxhash64(F.col("band") % CENTRES), 2)
     groups = (banded.groupBy("band", "hash").agg(F.min(F.col("doc_id").bitwiseXOR(order)).alias("a"), F.count("*").alias("n"))
               .where("n > 1").select("band", "hash", F.col("a").bitwiseXOR(order).alias("a")))
@@ -260,41 +316,63 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     in_group = staged(banded.select("band", "hash", "doc_id").join(groups, ["band", "hash"]), "in-group")
     stars = in_group.where("doc_id <> a").select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
     links = staged(_verified(stars, rows, threshold), "star-links")
+    classes = staged(reps.join(components(links), "doc_id", "left")
+                     .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")), "classes")
+
+    # Groups whose members are still in several classes, in rounds.
+    failed, forests = None, 1
+    while True:
+        placed = in_group.join(classes, "doc_id")
+        open_groups = (placed.groupBy("band", "hash").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y"), F.count("*").alias("n"))
+                       .where("x <> y and n > 2").select("band", "hash", "n"))
+        members = (placed.join(open_groups, ["band", "hash"]).join(signed.select("doc_id", "size", "signature", "cells"), "doc_id")
+                   .select("band", "hash", "n", "doc_id", "class_id", "size", "signature", "cells"))
+        told = staged(_apart(members, threshold, failed, forests), "candidates")
+        more = staged(_verified(told.select("a", "b").distinct(), rows, threshold), "more-links")
+        links = links.unionByName(more)
+        # Links join whole classes: only the classes are followed further.
+        of = lambda end: classes.select(F.col("doc_id").alias(end), F.col("class_id").alias(f"of_{end}"))
+        between = more.join(of("a"), "a").join(of("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+        joined = components(between).select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("whole"))
+        classes = staged(classes.join(joined, "class_id", "left").select("doc_id", F.coalesce("whole", "class_id").alias("class_id")), "classes")
+        again = staged(told.join(more, ["a", "b"], "left_anti").select(*told.columns), "failed")
+        if again.isEmpty():
+            break
+        # Tasks without a failure are done: only the others stay.
+        if failed is not None:
+            again = again.unionByName(failed.join(again.select(*TASK).distinct(), TASK, "left_semi").select(*told.columns))
+        failed, forests = again, forests * GROWTH
 
-    # Groups whose members are still in several classes.
-    classes = components(links)
-    placed = (in_group.join(classes, "doc_id", "left")
-              .withColumn("class_id", F.coalesce("class_id", "doc_id")))
-    open_groups = (placed.groupBy("band", "hash").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y"), F.count("*").alias("n"))
-                   .where("x <> y and n > 2").select("band", "hash", "n"))
-    members = (placed.join(open_groups, ["band", "hash"]).join(signed.select("doc_id", "size", "signature", "cells"), "doc_id")
-               .select("band", "hash", "n", "doc_id", "class_id", "size", "signature", "cells"))
-    rest = _apart(members, threshold).join(stars, ["a", "b"], "left_anti")
-    more = staged(_verified(staged(rest, "apart"), rows, threshold), "more-links")
-    # Those links join whole classes: only the classes are followed further.
-    of = lambda end: classes.select(F.col("doc_id").alias(end), F.col("class_id").alias(f"of_{end}"))
-    between = (more.join(of("a"), "a", "left").join(of("b"), "b", "left")
-               .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
-    joined = components(between).select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("whole"))
-    links = links.unionByName(more)
-
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    degree = links.distinct().select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n"))
     # Classes are told for the representatives; their copies take them over.
-    told = (reps.select(F.col("doc_id").alias("rep")).join(classes.withColumnRenamed("doc_id", "rep"), "rep", "left")
-            .select("rep", F.coalesce("class_id", "rep").alias("class_id")).join(joined, "class_id", "left")
-            .join(degree, "rep", "left")
-            .select("rep", F.coalesce("whole", "class_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    out = member.join(told, "rep").select("doc_id", "class_id", "n_links")
-    out = staged(out, "classes")
-    sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    return out.join(sizes, "class_id").select("doc_id", "class_id", "n_links", "class_size")
+    told = (classes.withColumnRenamed("doc_id", "rep").join(degree, "rep", "left")
+            .select("rep", F.col("class_id").alias("class"), F.coalesce("n", F.lit(0)).alias("verified_links")))
+    return staged(member.join(told, "rep").select("doc_id", "own_id", "size", "class", "verified_links"), "told")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Per document: doc_id, class_id (smallest doc_id of its class),
+    verified_links (links of its representative that were compared in full; links
+    inside a class that is joined already are not), class_size."""
+    told = _classes(_named(docs), threshold)
+    sizes = told.groupBy("class").agg(F.min("own_id").alias("class_id"), F.count("*").alias("class_size"))
+    return told.join(sizes, "class").select(F.col("own_id").alias("doc_id"), "class_id", "verified_links", "class_size")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, that with the smallest doc_id, with all its
-    columns. Documents without any word all stay."""
-    out = staged(near_duplicates(docs, threshold), "near-duplicates")
-    has_word = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike("[0-9A-Za-z\\x{80}-\\x{10ffff}]")
-    dropped = staged(out.where("doc_id <> class_id").select("doc_id").distinct(), "dropped")
-    return docs.join(dropped.withColumn("dropped__", F.lit(True)), "doc_id", "left").where(
-        F.col("dropped__").isNull() | ~has_word).drop("dropped__")
+    columns. Documents without any word or doc_id all stay."""
+    told = _classes(_named(docs), threshold).where("size > 0")
+    first = told.groupBy("class").agg(F.min(F.struct("own_id", "doc_id")).alias("first"), F.count("*").alias("n"))
+    shared = first.where("n > 1").select("class", F.col("first.doc_id").alias("stays"))
+    gone = told.join(shared, "class").select("doc_id", "stays")
+    name = spare_column(docs, "name")
+    key = F.when(F.col("doc_id").isNotNull(), row_name(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    named = docs.withColumn(name, key)
+    dropped = staged(gone.where("doc_id <> stays").select(F.col("doc_id").alias(name)).distinct(), "dropped")
+    # Rows that repeat the doc_id and text of the one that stays.
+    again = staged(gone.where("doc_id = stays").groupBy(F.col("doc_id").alias(name)).count().where("count > 1").select(name), "again")
+    stay = named.join(dropped, name, "left_anti")
+    if not again.isEmpty():
+        stay = stay.join(again, name, "left_anti").unionByName(stay.join(again, name, "left_semi").dropDuplicates([name]))
+    return stay.select(*docs.columns)

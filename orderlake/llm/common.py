@@ -57,6 +57,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_name(doc_id, text):
+    """A row named by its doc_id and text, as different texts may share a doc_id."""
+    return F.xxhash64(doc_id, text)
+
+
+def spare_column(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, in any case of its letters."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
