@@ -1,6 +1,7 @@
 """Operator 7: benchmark decontamination by greedy string tiling.
 
-Seeds are runs of `least` words.  A bitmap of fixed size, filled from the
+Seeds are runs of `least` words; an item of fewer words is tiled whole, its one
+seed being all of it.  A bitmap of fixed size, filled from the
 seeds of all test items, lets scanning tasks drop document seeds that no item
 has; the rest meet the items in a join.  A pair of document and item whose
 joined seeds could cover `coverage` of the item's words goes on to tiling:
@@ -11,10 +12,11 @@ over its length are its coverage, so passages in another order count in full.
 Only words under seeds that passed the bitmap travel (any common run of
 `least` words lies under them), never the texts.
 
-Edge cases: a null or empty text and an item shorter than `least` words give
-no match; equal items tie to the smallest item_id; equal rows are judged
-each; an empty table on either side gives clean documents or no rows; extra
-columns are ignored or, in `keep_clean`, passed through.
+Edge cases: a text or item without any word (null, empty) gives no match; an
+item shorter than `least` words matches where all its words follow one another;
+equal items tie to the smallest item_id; equal rows are judged each; an empty
+table on either side gives clean documents or no rows; extra columns are
+ignored or, in `keep_clean`, passed through, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (SHINGLE_WORD, U64, flat, mix, prepare, ranges, shingles, slices, span_hash, staged, texts,
-                     word_spans)
+from .common import (SHINGLE_WORD, U64, flat, mix, prepare, ranges, row_name, shingles, slices, spare_column, span_hash,
+                     staged, texts, word_spans)
 
 LEAST = 5
 COVERAGE = 0.5
@@ -39,13 +41,20 @@ def lower_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _seeds(benchmark: DataFrame, least: int) -> DataFrame:
-    """item_id, n_words, words, seeds of each item."""
+    """item_id, n_words, least (words a match has), words, seeds of each item."""
     def run(batches):
         for batch in batches:
             data, offsets = flat(batch.column("text"))
             word, doc = lower_words(data, offsets)
-            at, seed = shingles(word, doc, least)
             n = len(offsets) - 1
+            words = np.bincount(doc, minlength=n)
+            at, seed = shingles(word, doc, least)
+            for size in range(1, least):  # items that are one seed
+                more, key = shingles(word, doc, size)
+                short = words[doc[more]] == size
+                at, seed = np.concatenate([at, more[short]]), np.concatenate([seed, key[short]])
+            order = np.argsort(at, kind="stable")
+            at, seed = at[order], seed[order]
             cut = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
             cut_seed = np.searchsorted(doc[at], np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
@@ -56,8 +65,8 @@ def _seeds(benchmark: DataFrame, least: int) -> DataFrame:
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                              F.lower(F.coalesce("text", F.lit(""))).alias("text"))
-    return staged(items.mapInArrow(run, "item_id long, n_words long, words array<long>, seeds array<long>")
-                  .where(F.col("n_words") >= least), "items")
+    found = items.mapInArrow(run, "item_id long, n_words long, words array<long>, seeds array<long>").where("n_words > 0")
+    return staged(found.withColumn("least", F.least("n_words", F.lit(least).cast("long"))), "items")
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
@@ -70,25 +79,32 @@ def _bitmap(items: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
-def _marked(docs: DataFrame, bitmap: np.ndarray, least: int) -> DataFrame:
+def _marked(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
     """row, doc_id, words (with 0 between runs), seeds of documents with a
-    seed that passes the bitmap. row tells repeated doc_ids apart."""
+    seed, of any of the sizes, that passes the bitmap. row tells repeated
+    doc_ids apart."""
     def run(batches):
         for batch in batches:
             ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             data, offsets = flat(batch.column("text"))
             for i, j in slices(offsets):
                 word, doc = lower_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                at, seed = shingles(word, doc, least)
-                place = seed >> U64(64 - BITMAP_BITS)
-                hit = (bitmap[place >> U64(3)] >> (U64(7) - (place & U64(7))).astype(np.uint8)) & 1 == 1
-                at, seed = at[hit], seed[hit]
-                if not len(at):
-                    continue
                 # Words under the seeds; a 0 closes each run.
                 under = np.zeros(len(word) + 1, np.int32)
-                np.add.at(under, at, 1)
-                np.add.at(under, at + least, -1)
+                ats, seeds = [], []
+                for size in sizes:
+                    at, seed = shingles(word, doc, size)
+                    place = seed >> U64(64 - BITMAP_BITS)
+                    hit = (bitmap[place >> U64(3)] >> (U64(7) - (place & U64(7))).astype(np.uint8)) & 1 == 1
+                    ats.append(at[hit])
+                    seeds.append(seed[hit])
+                    np.add.at(under, at[hit], 1)
+                    np.add.at(under, at[hit] + size, -1)
+                at, seed = np.concatenate(ats), np.concatenate(seeds)
+                if not len(at):
+                    continue
+                order = np.argsort(at, kind="stable")
+                at, seed = at[order], seed[order]
                 on = np.cumsum(under)[:-1] > 0
                 last = on.copy()
                 last[:-1] &= ~on[1:] | (doc[1:] != doc[:-1])
@@ -163,22 +179,23 @@ def coverages(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverag
     docs: row, doc_id, text."""
     prepare(docs.sparkSession)
     items = _seeds(benchmark, least)
-    marked = staged(_marked(docs, _bitmap(items), least), "marked")
-    item_seeds = items.select("item_id", "n_words", F.posexplode("seeds").alias("place", "seed"))
+    sizes = sorted(r[0] for r in items.select("least").distinct().collect())  # `least` numbers at most
+    marked = staged(_marked(docs, _bitmap(items), sizes), "marked")
+    item_seeds = items.select("item_id", "n_words", "least", F.posexplode("seeds").alias("place", "seed"))
     # An item's words under the seeds it shares with the document: what tiling
     # can cover at most.
     shared = (marked.select("row", F.explode("seeds").alias("seed")).join(item_seeds, "seed")
-              .groupBy("row", "item_id", "n_words").agg(F.sort_array(F.collect_set("place")).alias("places")))
+              .groupBy("row", "item_id", "n_words", "least").agg(F.sort_array(F.collect_set("place")).alias("places")))
     reach = F.aggregate(F.sequence(F.lit(1), F.size("places") - 1),
-                        F.lit(least), lambda s, i: s + F.least(F.lit(least), F.col("places")[i] - F.col("places")[i - 1]))
-    reach = F.when(F.size("places") == 1, F.lit(least)).otherwise(reach)
+                        F.col("least"), lambda s, i: s + F.least("least", (F.col("places")[i] - F.col("places")[i - 1]).cast("long")))
+    reach = F.when(F.size("places") == 1, F.col("least")).otherwise(reach)
     pairs = (shared.where(reach >= F.col("n_words") * coverage).select("row", "item_id")
              .join(marked.select("row", "doc_id", "words"), "row")
              .join(items.select("item_id", "n_words", F.col("words").alias("item_words")), "item_id"))
 
     def run(batches):
         for batch in batches:
-            covered = [tile(np.array(t, np.int64).view(U64), np.array(w, np.int64).view(U64), least)
+            covered = [tile(np.array(t, np.int64).view(U64), np.array(w, np.int64).view(U64), min(least, len(w)))
                        for t, w in zip(batch.column("words").to_pylist(), batch.column("item_words").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("item_id"), batch.column("n_words"),
@@ -192,7 +209,7 @@ def coverages(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverag
 def _numbered(docs: DataFrame) -> DataFrame:
     """Rows named by doc_id and text, so that repeated ids are told apart and
     equal rows share their verdict."""
-    return texts(docs).withColumn("row", F.xxhash64("doc_id", "text"))
+    return texts(docs).withColumn("row", row_name("doc_id", "text"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE) -> DataFrame:
@@ -213,5 +230,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cov
 def keep_clean(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE) -> DataFrame:
     """The documents that cover no item, with all their columns."""
     bad = staged(coverages(_numbered(docs), benchmark, least, coverage).select("row").distinct(), "contaminated")
-    name = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.withColumn("row__", name).join(bad.withColumnRenamed("row", "row__"), "row__", "left_anti").drop("row__")
+    name = spare_column(docs, "name")
+    key = row_name(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return docs.withColumn(name, key).join(bad.withColumnRenamed("row", name), name, "left_anti").select(*docs.columns)
