@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (SHINGLE_WORD, U64, ascii_lower, flat, mix, prepare, shingles, slices, span_hash, staged,
+from .common import (SHINGLE_WORD, U64, ascii_lower, flat, mix, prepare, shingles, slices, spare_column, span_hash, staged,
                      text_slices, texts, word_spans)
 
 SAMPLE_ROWS = 20_000
@@ -159,8 +159,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     return Model(keys[order], rows["ratio"].to_numpy(float)[order])
 
 
-def weighted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents, all columns, and WEIGHT."""
+def weighted(docs: DataFrame, model: Model, text_col: str = "text", weight: str = WEIGHT) -> DataFrame:
+    """The documents, all columns, and their weight under the name given."""
     prepare(docs.sparkSession)
 
     def run(batches):
@@ -171,15 +171,15 @@ def weighted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                    for i, j in slices(offsets)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.concatenate(got) if got else np.zeros(0))],
-                names=[*batch.schema.names, WEIGHT])
+                names=[*batch.schema.names, weight])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(WEIGHT, T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(weight, T.DoubleType())]))
 
 
-def gumbel_key(doc_id="doc_id", temperature: float = TEMPERATURE, seed: int = 5):
+def gumbel_key(doc_id="doc_id", temperature: float = TEMPERATURE, seed: int = 5, weight: str = WEIGHT):
     """log weight / temperature + Gumbel value of the doc_id."""
     uniform = (F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.lit(seed)), 11) + 0.5) * F.lit(2.0 ** -53)
-    return F.col(WEIGHT) / temperature - F.log(-F.log(uniform))
+    return F.col(weight) / temperature - F.log(-F.log(uniform))
 
 
 def kth_largest(values: DataFrame, column: str, k: int, cells: int = 1024) -> float:
@@ -223,4 +223,6 @@ def keep_selected(docs: DataFrame, labels: DataFrame, reject_below: float = REJE
     if not k:
         return docs.limit(0)
     least = kth_largest(keys, "key", k)
-    return weighted(docs, model).where(gumbel_key(temperature=temperature) >= least).drop(WEIGHT)
+    name = spare_column(docs, WEIGHT)
+    return (weighted(docs, model, weight=name).where(gumbel_key(temperature=temperature, weight=name) >= least)
+            .select(*docs.columns))
