@@ -18,15 +18,16 @@ their centres by eight different orders, so that copies of a common text that
 are too far from one of them meet another.  Verified pairs join classes.
 
 Members of one band that are still in several classes are compared within their
-band where their lengths and signatures allow the threshold, in rounds.  A round
-tells a forest over the classes: at most one candidate for each two classes, so
-fewer pairs than classes, not one for each two members.  The pairs are verified
-and join classes.  A task whose pairs all hold is done, since its candidates lie
-inside classes then; one with a pair that fails is looked at again without it,
-with GROWTH times as many forests, until none fails: no candidate between two
-classes is left out.  A large group is dealt into blocks, and each pair of blocks
-is a task of its own, so no task holds a whole group.  A pair counts only if the
-overlap of the two multisets reaches the threshold.
+band where their lengths and signatures allow the threshold, in rounds.  The
+first round takes the first EARLY bands, which join most of a group, the second
+the others; both tell a forest over the classes: fewer pairs than classes, not
+one for each two members.  The pairs are verified and join classes.  A task whose
+pairs all hold is done, since its candidates lie inside classes then; one with a
+pair that fails is looked at again without it, with the best few candidates of
+each two classes, GROWTH times as many in each round, until none fails: no
+candidate between two classes is left out.  A large group is dealt into blocks,
+and each pair of blocks is a task of its own, so no task holds a whole group.  A
+pair counts only if the overlap of the two multisets reaches the threshold.
 
 Edge cases: documents of fewer than five words are one shingle of all their
 words; those without any word (null, empty) are equal to each other only; ties
@@ -53,7 +54,8 @@ SLOTS = BANDS * ROWS
 THRESHOLD = 0.8
 LEAST_AGREEMENT = 0.68  # of slots; at similarity 0.8 less has probability 2e-5
 CELLS = 2048  # of the counts that bound the overlap of two documents from above
-GROWTH = 8  # times as many forests in each further round
+EARLY = 4  # bands of the first round
+GROWTH = 8  # times as many candidates of two classes in each further round
 TASK = ["band", "hash", "low", "high"]  # two blocks of a group
 BLOCK = 2000  # members of a group that one task holds twice at most
 CENTRES = 8  # orders of the documents; each band takes its smallest member by one of them
@@ -211,14 +213,15 @@ def components(links: DataFrame) -> DataFrame:
                        .unionByName(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "small-star")
 
 
-def _forest(doc, cls, size, block, sign, cell, band, one_block, threshold, known):
-    """Candidate pairs (places in the arrays, sorted by size) that join all
-    classes which any candidate outside `known` joins: for each member its best
-    candidate in every class that it is not joined to yet."""
-    root = np.unique(cls, return_inverse=True)[1]
+def _forest(cls, size, block, sign, cell, band, one_block, threshold, known=None, most=1):
+    """Candidate pairs (places in the arrays, sorted by size): such that they
+    join all classes which any candidate joins, each member with its best in
+    every class that it is not joined to yet; or, if `known` has pairs (place x
+    members + place) that are no links, the best `most` others of each two classes."""
+    n, root = len(cls), np.unique(cls, return_inverse=True)[1]
     full = (cell == 255).all(1)  # their counts do not fit: two of those have no bound
-    out = []
-    for i in range(len(doc) - 1):
+    out, marks = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
+    for i in range(n - 1):
         j = int(np.searchsorted(size, size[i] / threshold + 1e-9, "right"))
         other = np.arange(i + 1, j)
         other = other[(root[other] != root[i]) & (one_block | (block[other] != block[i]))]
@@ -226,19 +229,33 @@ def _forest(doc, cls, size, block, sign, cell, band, one_block, threshold, known
             continue
         same = sign[other] == sign[i]
         agree = same.mean(1)
+        near = agree >= LEAST_AGREEMENT
+        other, agree, same = other[near], agree[near], same[near]
         # A pair belongs to the first band that it shares.
-        near = (agree >= LEAST_AGREEMENT) & (same.reshape(len(other), BANDS, ROWS).all(2).argmax(1) == band)
-        other, agree = other[near], agree[near]
         least = threshold / (1 + threshold) * (size[i] + size[other]) - 1e-6
         bound = np.minimum(cell[other], cell[i]).sum(1, dtype=np.int64)
-        near = ((bound >= least) | (full[other] & full[i])) & ~np.isin(i * len(doc) + other, known)
+        near = ((bound >= least) | (full[other] & full[i])) & (same.reshape(len(other), BANDS, ROWS).all(2).argmax(1) == band)
         other, agree = other[near], agree[near]
-        if len(other):
+        if not len(other):
+            continue
+        if known is None:
             order = np.argsort(-agree, kind="stable")
-            best = other[order[np.unique(root[other[order]], return_index=True)[1]]]
-            out += [(i, int(k)) for k in best]
-            root[np.isin(root, root[best])] = root[i]
-    return out
+            best = order[np.unique(root[other[order]], return_index=True)[1]]
+            other, agree = other[best], agree[best]
+            root[np.isin(root, root[other])] = root[i]
+        out.append(np.stack([np.full(len(other), i), other], 1))
+        marks.append(agree)
+    pairs, agree = np.concatenate(out), np.concatenate(marks)
+    if known is None or not len(pairs):
+        return pairs
+    new = ~np.isin(pairs[:, 0] * n + pairs[:, 1], known)
+    pairs, agree = pairs[new], agree[new]
+    ends = np.sort(root[pairs], 1)
+    order = np.lexsort((-agree, ends[:, 1], ends[:, 0]))
+    ends = ends[order]
+    first = np.flatnonzero(np.r_[True, (ends[1:] != ends[:-1]).any(1)]) if len(ends) else np.zeros(0, int)
+    rank = np.arange(len(ends)) - np.repeat(first, np.diff(np.r_[first, len(ends)]))
+    return pairs[order[rank < most]]
 
 
 def _dealt(members: DataFrame) -> DataFrame:
@@ -249,13 +266,14 @@ def _dealt(members: DataFrame) -> DataFrame:
             .withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("n", "with"))
 
 
-def _apart(members: DataFrame, threshold: float, failed: DataFrame | None = None, forests: int = 1) -> DataFrame:
+def _apart(members: DataFrame, threshold: float, failed: DataFrame | None = None, most: int = 1,
+          tasks: DataFrame | None = None) -> DataFrame:
     """(task, a, b): candidate pairs of one band whose classes differ and whose
-    lengths and signatures allow the threshold, `forests` times as many as it
-    takes to join the classes at most. members: band, hash, n (members of the
+    lengths and signatures allow the threshold: a forest over the classes, or in
+    tasks with failed pairs the best `most` of each two classes. members: band, hash, n (members of the
     group), doc_id, class_id, size, signature, cells (their common counts are at
-    least the overlap). failed: (task, a, b) that are no links; only their
-    tasks are looked at then."""
+    least the overlap). failed: (task, a, b) that are no links;
+    tasks: those to look at (None: all)."""
     def run(key, table, without):
         if not table.num_rows:
             return pa.table({**{k: pa.array([], v.type) for k, v in zip(TASK, key)},
@@ -268,22 +286,14 @@ def _apart(members: DataFrame, threshold: float, failed: DataFrame | None = None
         known = np.array([min(x, y) * len(doc) + max(x, y) for a, b in zip(without.column("a").to_pylist(), without.column("b").to_pylist())
                           for x, y in [(place[a], place[b])]], np.int64)
         band, low, high = (key[k].as_py() for k in (0, 2, 3))
-        told = []
-        for _ in range(forests):
-            more = _forest(doc, cls, size, block, sign, cell, band, low == high, threshold, known)
-            if not more:
-                break
-            told += more
-            known = np.concatenate([known, np.array([i * len(doc) + j for i, j in more], np.int64)])
-        ends = doc[np.array(told, np.int64).reshape(-1, 2)]
+        told = _forest(cls, size, block, sign, cell, band, low == high, threshold, known if len(known) else None, most)
+        ends = doc[told]
         return pa.table({**{k: pa.array([v.as_py()] * len(told), v.type) for k, v in zip(TASK, key)},
                          "a": ends.min(1, initial=np.iinfo(np.int64).max), "b": ends.max(1, initial=np.iinfo(np.int64).min)})
 
-    dealt = _dealt(members)
     if failed is None:
         failed = members.sparkSession.range(0).selectExpr("int(id) band", "id hash", "id low", "id high", "id a", "id b")
-    else:
-        dealt = dealt.join(failed.select(*TASK).distinct(), TASK, "left_semi")
+    dealt = _dealt(members) if tasks is None else _dealt(members).join(tasks, TASK, "left_semi")
     return dealt.groupBy(*TASK).cogroup(failed.groupBy(*TASK)).applyInArrow(
         run, "band int, hash long, low long, high long, a long, b long")
 
@@ -297,7 +307,8 @@ def _named(docs: DataFrame) -> DataFrame:
 def _classes(rows: DataFrame, threshold: float) -> DataFrame:
     """Per row of _named: doc_id, own_id, size, class (name of one member),
     verified_links (of its representative)."""
-    prepare(rows.sparkSession)
+    spark = rows.sparkSession
+    prepare(spark)
     signed = staged(_scan(rows), "signatures")
     same = ["size", "set_a", "set_b"]
     first = signed.groupBy(*same).agg(F.min("doc_id").alias("rep"))
@@ -320,14 +331,22 @@ def _classes(rows: DataFrame, threshold: float) -> DataFrame:
                      .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")), "classes")
 
     # Groups whose members are still in several classes, in rounds.
-    failed, forests = None, 1
+    failed = spark.range(0).selectExpr("int(id) band", "id hash", "id low", "id high", "id a", "id b")
+    part, most = 0, 1
     while True:
         placed = in_group.join(classes, "doc_id")
         open_groups = (placed.groupBy("band", "hash").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y"), F.count("*").alias("n"))
                        .where("x <> y and n > 2").select("band", "hash", "n"))
         members = (placed.join(open_groups, ["band", "hash"]).join(signed.select("doc_id", "size", "signature", "cells"), "doc_id")
                    .select("band", "hash", "n", "doc_id", "class_id", "size", "signature", "cells"))
-        told = staged(_apart(members, threshold, failed, forests), "candidates")
+        # The early bands, the late ones, then tasks with failures among both.
+        if part < 2:
+            chosen = members.where(F.col("band") < EARLY if part == 0 else F.col("band") >= EARLY)
+            told = _apart(chosen, threshold)
+        else:
+            told = _apart(members, threshold, failed, most, failed.select(*TASK).distinct())
+            most *= GROWTH
+        told = staged(told, "candidates")
         more = staged(_verified(told.select("a", "b").distinct(), rows, threshold), "more-links")
         links = links.unionByName(more)
         # Links join whole classes: only the classes are followed further.
@@ -336,12 +355,15 @@ def _classes(rows: DataFrame, threshold: float) -> DataFrame:
         joined = components(between).select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("whole"))
         classes = staged(classes.join(joined, "class_id", "left").select("doc_id", F.coalesce("whole", "class_id").alias("class_id")), "classes")
         again = staged(told.join(more, ["a", "b"], "left_anti").select(*told.columns), "failed")
-        if again.isEmpty():
+        if part >= 2:
+            # Tasks without a new failure are done: only the others stay.
+            still = failed.join(again.select(*TASK).distinct(), TASK, "left_semi").select(*told.columns)
+            failed = staged(again.unionByName(still), "failed")
+        else:
+            failed = staged(failed.unionByName(again), "failed")
+        part += 1
+        if part >= 2 and failed.isEmpty():
             break
-        # Tasks without a failure are done: only the others stay.
-        if failed is not None:
-            again = again.unionByName(failed.join(again.select(*TASK).distinct(), TASK, "left_semi").select(*told.columns))
-        failed, forests = again, forests * GROWTH
 
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n"))
     # Classes are told for the representatives; their copies take them over.

@@ -91,8 +91,8 @@ def test_rounds_after_failed_pairs(spark):
     members = spark.createDataFrame([(0, 0, 6, i, i % 2, 100, sign, full) for i in range(6)],
                                     "band int, hash long, n long, doc_id long, class_id long, size long, signature binary, cells binary")
     failed, seen = None, set()
-    for forests, n in ((1, 1), (2, 2), (100, 6), (100, 0)):
-        told = bagminhash._apart(members, 0.8, failed, forests)
+    for most, n in ((1, 1), (2, 2), (100, 6), (100, 0)):
+        told = bagminhash._apart(members, 0.8, failed, most)
         pairs = {(r["a"], r["b"]) for r in told.collect()}
         assert len(pairs) == n and not pairs & seen and all((b - a) % 2 for a, b in pairs)
         seen |= pairs
