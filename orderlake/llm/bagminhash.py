@@ -23,9 +23,10 @@ first round takes the first EARLY bands, which join most of a group, the second
 the others; both tell a forest over the classes: fewer pairs than classes, not
 one for each two members.  The pairs are verified and join classes.  A task whose
 pairs all hold is done, since its candidates lie inside classes then; one with a
-pair that fails is looked at again without it, with the best few candidates of
-each two classes, GROWTH times as many in each round, until none fails: no
-candidate between two classes is left out.  A large group is dealt into blocks,
+pair that fails is looked at again without it, now by the overlap of the shingle
+hashes of its members, and with the best few candidates of each two classes,
+GROWTH times as many in each round, until none fails: no candidate between two
+classes is left out.  A large group is dealt into blocks,
 and each pair of blocks is a task of its own, so no task holds a whole group.  A
 pair counts only if the overlap of the two multisets reaches the threshold.
 
@@ -55,6 +56,7 @@ THRESHOLD = 0.8
 LEAST_AGREEMENT = 0.68  # of slots; at similarity 0.8 less has probability 2e-5
 CELLS = 2048  # of the counts that bound the overlap of two documents from above
 EARLY = 4  # bands of the first round
+KEYS = 4096  # shingles of a text whose hashes go along in the later rounds; longer ones go without
 GROWTH = 8  # times as many candidates of two classes in each further round
 TASK = ["band", "hash", "low", "high"]  # two blocks of a group
 BLOCK = 2000  # members of a group that one task holds twice at most
@@ -213,7 +215,7 @@ def components(links: DataFrame) -> DataFrame:
                        .unionByName(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "small-star")
 
 
-def _forest(cls, size, block, sign, cell, band, one_block, threshold, known=None, most=1):
+def _forest(cls, size, block, sign, cell, band, one_block, threshold, known=None, most=1, keys=None):
     """Candidate pairs (places in the arrays, sorted by size): such that they
     join all classes which any candidate joins, each member with its best in
     every class that it is not joined to yet; or, if `known` has pairs (place x
@@ -236,6 +238,14 @@ def _forest(cls, size, block, sign, cell, band, one_block, threshold, known=None
         bound = np.minimum(cell[other], cell[i]).sum(1, dtype=np.int64)
         near = ((bound >= least) | (full[other] & full[i])) & (same.reshape(len(other), BANDS, ROWS).all(2).argmax(1) == band)
         other, agree = other[near], agree[near]
+        if keys is not None and len(other) and len(keys[i]):
+            # No more hashes in common than these: an upper bound again.
+            length = np.array([len(keys[k]) for k in other])
+            theirs = np.concatenate([keys[k] for k in other])
+            at = np.minimum(np.searchsorted(keys[i], theirs), len(keys[i]) - 1)
+            hits = np.bincount(np.repeat(np.arange(len(other)), length), keys[i][at] == theirs, len(other))
+            near = (length == 0) | (hits >= threshold / (1 + threshold) * (size[i] + size[other]) - 1e-6)
+            other, agree = other[near], agree[near]
         if not len(other):
             continue
         if known is None:
@@ -286,7 +296,8 @@ def _apart(members: DataFrame, threshold: float, failed: DataFrame | None = None
         known = np.array([min(x, y) * len(doc) + max(x, y) for a, b in zip(without.column("a").to_pylist(), without.column("b").to_pylist())
                           for x, y in [(place[a], place[b])]], np.int64)
         band, low, high = (key[k].as_py() for k in (0, 2, 3))
-        told = _forest(cls, size, block, sign, cell, band, low == high, threshold, known if len(known) else None, most)
+        keys = [np.frombuffer(k, np.uint32) for k in rows["keys"]] if "keys" in rows else None
+        told = _forest(cls, size, block, sign, cell, band, low == high, threshold, known if len(known) else None, most, keys)
         ends = doc[told]
         return pa.table({**{k: pa.array([v.as_py()] * len(told), v.type) for k, v in zip(TASK, key)},
                          "a": ends.min(1, initial=np.iinfo(np.int64).max), "b": ends.max(1, initial=np.iinfo(np.int64).min)})
@@ -298,6 +309,26 @@ def _apart(members: DataFrame, threshold: float, failed: DataFrame | None = None
         run, "band int, hash long, low long, high long, a long, b long")
 
 
+def _keys(rows: DataFrame) -> DataFrame:
+    """doc_id, keys: 32-bit hashes, ascending, of the shingles, each with its
+    number among equal ones; none for texts of more than KEYS shingles."""
+    def run(batches):
+        for batch in batches:
+            data, offsets = flat(batch.column("text"))
+            out = []
+            for i, j in slices(offsets):
+                doc, key, count = multiset(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                of = np.repeat(np.arange(len(doc)), count)
+                number = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+                with np.errstate(over="ignore"):
+                    each = (mix(key[of] + mix(number.astype(U64))) >> U64(32)).astype(np.uint32)
+                cut = np.searchsorted(doc[of], np.arange(j - i + 1))
+                out += [np.sort(each[a:b]).tobytes() if b - a <= KEYS else b"" for a, b in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "keys"])
+
+    return rows.select("doc_id", F.lower("text").alias("text")).mapInArrow(run, "doc_id long, keys binary")
+
+
 def _named(docs: DataFrame) -> DataFrame:
     """(doc_id, own_id, text): rows named by their own doc_id and text."""
     return texts(docs).where("doc_id is not null").select(row_name("doc_id", "text").alias("doc_id"),
@@ -344,7 +375,10 @@ def _classes(rows: DataFrame, threshold: float) -> DataFrame:
             chosen = members.where(F.col("band") < EARLY if part == 0 else F.col("band") >= EARLY)
             told = _apart(chosen, threshold)
         else:
-            told = _apart(members, threshold, failed, most, failed.select(*TASK).distinct())
+            tasks = failed.select(*TASK).distinct()
+            members = members.join(tasks.select("band", "hash").distinct(), ["band", "hash"], "left_semi")
+            keys = _keys(rows.join(members.select("doc_id").distinct(), "doc_id", "left_semi")).dropDuplicates(["doc_id"])
+            told = _apart(members.join(staged(keys, "keys"), "doc_id"), threshold, failed, most, tasks)
             most *= GROWTH
         told = staged(told, "candidates")
         more = staged(_verified(told.select("a", "b").distinct(), rows, threshold), "more-links")
