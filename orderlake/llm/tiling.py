@@ -179,7 +179,7 @@ def coverages(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverag
     docs: row, doc_id, text."""
     prepare(docs.sparkSession)
     items = _seeds(benchmark, least)
-    sizes = sorted(r[0] for r in items.select("least").distinct().collect())  # `least` numbers at most
+    sizes = sorted(r[0] for r in items.select("least").distinct().collect()) or [least]  # `least` numbers at most
     marked = staged(_marked(docs, _bitmap(items), sizes), "marked")
     item_seeds = items.select("item_id", "n_words", "least", F.posexplode("seeds").alias("place", "seed"))
     # An item's words under the seeds it shares with the document: what tiling
