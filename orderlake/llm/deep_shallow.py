@@ -25,10 +25,12 @@ the order of the questions, two bits or less each.  The texts are shuffled
 once; the three passes over them read the same exchange.
 
 Edge cases: null and empty texts, and texts shorter than `length`, keep all
-bytes; rows with equal doc_id are not earlier than each other; a null doc_id
-is smaller than any other; an empty table gives an empty result; extra columns
-are ignored.  A very long text is one chunk with those of near ids, cut into
-blocks for hashing.
+bytes; rows with equal doc_id are not earlier than each other, and copies are
+told by doc_id and text, so another text of a reused doc_id is judged on its
+own; a null doc_id is smaller than any other; an empty table gives an empty
+result; extra columns are ignored.  Chunks are cut by bytes: a text weighs one
+and one more for each UNIT_BYTES of it, so long texts of near ids are dealt into
+several chunks.  A very long text is cut into blocks for hashing.
 """
 
 from __future__ import annotations
@@ -46,6 +48,8 @@ from .common import U64, flat, mix, partitions, prepare, ranges, span_hash, text
 LENGTH = 50
 GRAM = 24
 CHUNK_BYTES = 4 << 20
+UNIT_BYTES = 4 << 10
+OWNER_BYTES = 32 << 20
 BLOCK = 1 << 20
 SHALLOW = 32
 VARIED = (1 << 40) - 1
@@ -299,22 +303,30 @@ def _bits(raw: bytes, n: int) -> np.ndarray:
     return bit[0] | bit[1] << 1
 
 
+def _short_name(text: bytes) -> int:
+    """The first 15 hexadecimal digits of the MD5, as Spark's conv gives them."""
+    return int(hashlib.md5(text).hexdigest()[:15], 16)
+
+
 class _Chunk:
     """The texts of a chunk that take part, their runs, and all answers."""
 
     def __init__(self, docs: pa.Table, answers: pa.Table, buckets: int):
         self.buckets = buckets
         self.answers = {}
-        copies = set()
+        copies = set()  # (doc_id, start of the MD5) of the rows that take no part
         for r in answers.select(["kind", "bucket", "raw"]).to_pylist():
             if r["kind"] == COPIES:
-                copies.update(np.frombuffer(r["raw"], "<i8").tolist())
+                copies.update(map(tuple, np.frombuffer(r["raw"], "<i8").reshape(-1, 2).tolist()))
             else:
                 self.answers[r["kind"], r["bucket"]] = r["raw"]
         docs = docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         ids = docs.column("doc_id").to_numpy()
         self.all_ids, self.text = ids, docs.column("text")
-        self.is_copy = np.isin(ids, np.array(sorted(copies), np.int64)) if copies else np.zeros(len(ids), bool)
+        self.is_copy = np.zeros(len(ids), bool)
+        if copies:
+            for k in np.flatnonzero(np.isin(ids, np.array([i for i, _ in copies], np.int64))).tolist():
+                self.is_copy[k] = (int(ids[k]), _short_name(self.text[k].as_py())) in copies
         mine = np.flatnonzero(~self.is_copy)
         self.ids = ids[mine]
         self.data, self.offsets = flat(self.text.take(pa.array(mine)).combine_chunks())
@@ -428,18 +440,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(partitions(spark), -(-size // CHUNK_BYTES))
     at = [k / chunks for k in range(1, chunks)]
-    cuts = rows.agg(F.percentile_approx("doc_id", at, 20 * chunks)).first()[0] or []
+    units = rows.select("doc_id", F.explode(F.sequence(F.lit(0), F.floor(F.octet_length("text") / UNIT_BYTES).cast("int"))))
+    cuts = units.agg(F.percentile_approx("doc_id", at, 20 * chunks)).first()[0] or []
     splits = [-float("inf"), *(sorted({float(c) + 0.5 for c in cuts}) or [-1e300]), float("inf")]
     rows = Bucketizer(splits=splits, inputCol="number", outputCol="part").transform(
         rows.withColumn("number", F.col("doc_id").cast("double")))
     rows = rows.select(F.col("part").cast("int").alias("chunk"), "doc_id", "text")
-    buckets = min(len(splits) - 1, 4096)
+    # An owner task holds the questions on OWNER_BYTES of text, whatever the input.
+    buckets = max(min(partitions(spark), len(splits) - 1), -(-size // OWNER_BYTES))
 
-    # Copies of a whole text: only the smallest doc_id takes part.
+    # Copies of a whole text: only the rows of its smallest doc_id take part.
     names = rows.select("chunk", "doc_id", F.md5("text").alias("name"), F.xxhash64("text").alias("hash"))
     first = names.groupBy("name", "hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = (names.join(first, ["name", "hash"]).where("doc_id > first").groupBy("chunk")
-              .agg(F.collect_list("doc_id").alias("ids")))
+              .agg(F.collect_set(F.struct("doc_id", F.conv(F.substring("name", 1, 15), 16, 10).cast("long"))).alias("ids")))
     copies = copies.mapInArrow(_pack_ids, ANSWER)
 
     def ask(key, left, right):
@@ -473,5 +487,5 @@ _EMPTY = {QUESTION: pa.Table.from_pylist([], schema=_QUESTION),
 def _pack_ids(batches):
     for batch in batches:
         yield pa.RecordBatch.from_pylist(
-            [{"chunk": c, "kind": COPIES, "bucket": -1, "raw": np.array(ids, "<i8").tobytes()}
+            [{"chunk": c, "kind": COPIES, "bucket": -1, "raw": np.array([tuple(i.values()) for i in ids], "<i8").tobytes()}
              for c, ids in zip(batch.column("chunk").to_pylist(), batch.column("ids").to_pylist())], schema=_ANSWER)

@@ -133,7 +133,7 @@ def test_op2_short_sentences(spark):
     assert out == {1: (0, "Click here now. Buy one today."), 2: (2, "Own words. More."), 3: (2, "")}
 
 
-def test_op3_substrings(docs, rows, empty):
+def brute_substrings(rows):
     seen, ids = {}, lambda i: -math.inf if i is None else i
     texts = [(r[0], (r[1] or "").encode()) for r in rows]
     for i, t in texts:
@@ -149,11 +149,26 @@ def test_op3_substrings(docs, rows, empty):
         kept = bytes(b for b, g in zip(t, gone) if not g)
         runs = int((gone & ~np.r_[False, gone[:-1]]).sum()) if len(t) else 0
         want.append((i, len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(want, key=repr)
+
+
+def test_op3_substrings(docs, rows, empty):
     out = deep_shallow.remove_repeats(docs)
-    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=repr)
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_substrings(rows)
     assert deep_shallow.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("owner", [32 << 20, 1 << 12])
+def test_op3_reused_ids_and_long_neighbours(spark, monkeypatch, owner):
+    """Other texts of an id that also holds a copy; long texts of near ids; many owners."""
+    monkeypatch.setattr(deep_shallow, "OWNER_BYTES", owner)
+    a, b, c = prose(40, 1), prose(40, 2), prose(40, 3)
+    rows = [(1, a), (5, a), (5, b), (5, b), (None, c), (None, c), (6, c), (7, b[:120] + c), (5, a)]
+    rows += [(100 + k, prose(6000, 50 + k % 3)) for k in range(6)] + [(200 + k, prose(12, k)) for k in range(40)]
+    out = deep_shallow.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_substrings(rows)
+
+
 @pytest.mark.parametrize("letters", [1, 2, 20])
 def test_deep_shallow_sort(letters):
     r = np.random.default_rng(letters)
