@@ -161,9 +161,9 @@ def _scan(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, own_id long, size long, set_a long, set_b long, bands array<long>, signature binary, cells binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of the pairs whose multisets overlap enough."""
-    text = docs.select("doc_id", F.lower("text").alias("text"))
+def _verified(pairs: DataFrame, text: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of the distinct pairs whose multisets overlap enough. text: doc_id
+    (unique), text in lower case."""
     both = (pairs.join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
 
@@ -186,8 +186,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
                 ok[i:j] = both_n >= threshold * total - 1e-9
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
 
-    # Rows that repeat doc_id and text have one name.
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -326,7 +325,14 @@ def _keys(rows: DataFrame) -> DataFrame:
                 out += [np.sort(each[a:b]).tobytes() if b - a <= KEYS else b"" for a, b in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "keys"])
 
-    return rows.select("doc_id", F.lower("text").alias("text")).mapInArrow(run, "doc_id long, keys binary")
+    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, keys binary")
+
+
+def _picked(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """One row of each of some documents, written: later steps shuffle these and
+    not the whole table. The join is a merge at every size, and its order serves
+    to drop rows that repeat doc_id and text, which have one name."""
+    return staged(rows.join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), name)
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -344,11 +350,10 @@ def _classes(rows: DataFrame, threshold: float) -> DataFrame:
     same = ["size", "set_a", "set_b"]
     first = signed.groupBy(*same).agg(F.min("doc_id").alias("rep"))
     member = staged(signed.select("doc_id", "own_id", *same).join(first, same).select("doc_id", "own_id", "size", "rep"), "members")
-    reps = member.where("doc_id = rep").select("doc_id").distinct()
-    signed = staged(signed.where("size > 0").join(reps, "doc_id").dropDuplicates(["doc_id"])
-                    .select("doc_id", "size", "bands", "signature", "cells"), "representatives")
+    reps = staged(member.where("doc_id = rep").groupBy("doc_id").agg(F.max("size").alias("size")), "representatives")
+    bands = _picked(signed.select("doc_id", "bands"), reps.where("size > 0").select("doc_id"), "bands")
 
-    banded = signed.select("doc_id", "size", F.posexplode("bands").alias("band", "hash"))
+    banded = bands.select("doc_id", F.posexplode("bands").alias("band", "hash"))
     # An order of the names for each eighth of the bands: the smallest name
     # after flipping some of its bits.
     order = F.shiftrightunsigned(F.xxhash64(F.col("band") % CENTRES), 2)
@@ -356,9 +361,14 @@ def _classes(rows: DataFrame, threshold: float) -> DataFrame:
               .where("n > 1").select("band", "hash", F.col("a").bitwiseXOR(order).alias("a")))
     groups = staged(groups, "groups")
     in_group = staged(banded.select("band", "hash", "doc_id").join(groups, ["band", "hash"]), "in-group")
-    stars = in_group.where("doc_id <> a").select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
-    links = staged(_verified(stars, rows, threshold), "star-links")
-    classes = staged(reps.join(components(links), "doc_id", "left")
+    stars = staged(in_group.where("doc_id <> a").select(F.least("a", "doc_id").alias("a"),
+                                                        F.greatest("a", "doc_id").alias("b")).distinct(), "stars")
+    # Only documents that share a band are looked at from here on.
+    near = staged(in_group.select("doc_id").distinct(), "near")
+    signed = _picked(signed.select("doc_id", "size", "signature", "cells"), near, "near-signatures")
+    text = _picked(rows.select("doc_id", F.lower("text").alias("text")), near, "near-texts")
+    links = staged(_verified(stars, text, threshold), "star-links")
+    classes = staged(reps.select("doc_id").join(components(links), "doc_id", "left")
                      .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")), "classes")
 
     # Groups whose members are still in several classes, in rounds.
@@ -368,20 +378,26 @@ def _classes(rows: DataFrame, threshold: float) -> DataFrame:
         placed = in_group.join(classes, "doc_id")
         open_groups = (placed.groupBy("band", "hash").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y"), F.count("*").alias("n"))
                        .where("x <> y and n > 2").select("band", "hash", "n"))
-        members = (placed.join(open_groups, ["band", "hash"]).join(signed.select("doc_id", "size", "signature", "cells"), "doc_id")
-                   .select("band", "hash", "n", "doc_id", "class_id", "size", "signature", "cells"))
+        members = placed.join(open_groups, ["band", "hash"]).select("band", "hash", "n", "doc_id", "class_id")
         # The early bands, the late ones, then tasks with failures among both.
         if part < 2:
-            chosen = members.where(F.col("band") < EARLY if part == 0 else F.col("band") >= EARLY)
-            told = _apart(chosen, threshold)
+            members = members.where(F.col("band") < EARLY if part == 0 else F.col("band") >= EARLY)
         else:
             tasks = failed.select(*TASK).distinct()
             members = members.join(tasks.select("band", "hash").distinct(), ["band", "hash"], "left_semi")
-            keys = _keys(rows.join(members.select("doc_id").distinct(), "doc_id", "left_semi")).dropDuplicates(["doc_id"])
+        members = staged(members, "open-members")
+        ids = staged(members.select("doc_id").distinct(), "open-ids")
+        members = members.join(signed.join(ids, "doc_id", "left_semi"), "doc_id")
+        if part < 2:
+            told = _apart(members, threshold)
+        else:
+            keys = _keys(text.join(ids, "doc_id", "left_semi"))
             told = _apart(members.join(staged(keys, "keys"), "doc_id"), threshold, failed, most, tasks)
             most *= GROWTH
         told = staged(told, "candidates")
-        more = staged(_verified(told.select("a", "b").distinct(), rows, threshold), "more-links")
+        pairs = staged(told.select("a", "b").distinct(), "pairs")
+        ends = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
+        more = staged(_verified(pairs, text.join(ends, "doc_id", "left_semi"), threshold), "more-links")
         links = links.unionByName(more)
         # Links join whole classes: only the classes are followed further.
         of = lambda end: classes.select(F.col("doc_id").alias(end), F.col("class_id").alias(f"of_{end}"))
