@@ -151,6 +151,8 @@ class Model:
     def __init__(self, folder: str, buckets: int, totals: dict):
         self.folder, self.buckets, self.totals = folder, buckets, totals
         self.d2, self.d1 = discounts(totals["bigram_t"]), discounts(totals["cont_t"])
+        #: What counts plus one are divided by in the base score.
+        self.base_total = (totals["tokens"] + 1) * (totals["words"] + 1)
 
     def _of(self, kind: str, kinds: tuple[str, ...], bucket: np.ndarray):
         """For each bucket that occurs: its places in the query, its arrays."""
@@ -195,7 +197,7 @@ class Model:
         uniq, inverse = np.unique(word, return_inverse=True)
         row = self.words(uniq >> U64(16), uniq)
         c = row[:, 0]
-        base = np.log10((c + 1) / ((t["tokens"] + 1) * (t["words"] + 1)))
+        base = np.log10((c + 1) / self.base_total)
         uniform = 1.0 / (t["words"] + 1)
         if not t["tokens"]:
             return c[inverse], base[inverse], np.full(len(word), np.log10(uniform))
@@ -368,8 +370,13 @@ def score(docs: DataFrame, m: Model) -> DataFrame:
         run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def train_and_score(docs: DataFrame) -> DataFrame:
+def train_and_score(docs: DataFrame, add_one: bool = False) -> DataFrame:
+    """Train on the documents that are not held out and score all; with
+    ``add_one`` the base score is the add-one estimate, whose probabilities
+    (c + 1) / (N + V + 1) sum to one over the training words and an unknown one."""
     rows = texts(docs)
     m = train(rows.where(~held_out_column()))
+    if add_one:
+        m.base_total = m.totals["tokens"] + m.totals["words"] + 1
     return score(rows, m).select("doc_id", held_out_column().alias("held_out"), "n_tokens", "n_known",
                                  "train_tokens", "base_score", "score")

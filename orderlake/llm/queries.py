@@ -45,7 +45,7 @@ def op7_string_tiling(spark, sf_dir):
 
 
 def op8_kneser_ney(spark, sf_dir):
-    return kneser_ney.train_and_score(read(spark, sf_dir, "documents"))
+    return kneser_ney.train_and_score(read(spark, sf_dir, "documents"), add_one=True)
 
 
 def op9_piece_rounds(spark, sf_dir):
