@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS
-from ..session import staged, unique_path
+from ..session import conf_for, unique_path
 
 # Fixed values of the fixture rule (FIXTURES.md §3, §3b).
 BAD_DATE_MOD, BAD_DATE_TEXT = 41, "not-a-date"
@@ -105,9 +105,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_files_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The file variant: raw text plus ``file_no`` and the in-file write order."""
-    lines = order_lines(spark, sf_dir).withColumn("file_no", F.col("l_orderkey") % FILES)
-    return lines.select("file_no", "l_orderkey", "l_linenumber", *raw_text_columns(True))
+    """The lines of the file variant with their ``file_no``; ``write_raw_files``
+    makes their text, so that numbers and not texts are shuffled and sorted."""
+    return order_lines(spark, sf_dir).withColumn("file_no", F.col("l_orderkey") % FILES)
 
 
 # Fixed values of the files' layouts: the file number modulo 3 gives the order
@@ -127,16 +127,26 @@ RAW_WRITE_OPTIONS = {
 }
 
 
-def write_raw_files(frame: DataFrame, path: str) -> str:
-    """One CSV per ``file_no`` (folder ``file_no=N``), rows in WRITE_ORDER,
-    columns as its layout has them."""
-    note = F.when(F.col("file_no") % NOTE_MOD == NOTE_REM, F.lit(NOTE_TEXT)).otherwise(F.lit("-"))
-    rows = staged(frame.withColumn(NOTE, note), "raw-rows")
-    for kind, layout in enumerate(LAYOUTS):
-        (rows.where(F.col("file_no") % len(LAYOUTS) == kind)
-         .repartition("file_no").sortWithinPartitions("file_no", *WRITE_ORDER)
-         .select("file_no", *layout)
-         .write.mode("append").options(**RAW_WRITE_OPTIONS).partitionBy("file_no").csv(path))
+# Bytes of the shuffled lines that one task sorts: they are compressed, and
+# several times as large in memory.
+SORTED_BYTES = "16m"
+
+
+def write_raw_files(lines: DataFrame, path: str) -> str:
+    """One CSV per ``file_no`` (folder ``file_no=N``) of the text of ``lines``
+    (``raw_order_files_frame``), rows in WRITE_ORDER, columns as its layout has them.
+
+    Each layout joins and reads its own third of the lines: ``file_no`` comes
+    from the order key, so its filter reaches the scans."""
+    note = F.when(F.col("file_no") % NOTE_MOD == NOTE_REM, F.lit(NOTE_TEXT)).otherwise(F.lit("-")).alias(NOTE)
+    text = dict(zip(RAW_COLUMNS, raw_text_columns(True)), **{NOTE: note})
+    order = [text.get(c, F.col(c)) for c in WRITE_ORDER]
+    with conf_for(lines.sparkSession, spark__sql__adaptive__advisoryPartitionSizeInBytes=SORTED_BYTES):
+        for kind, layout in enumerate(LAYOUTS):
+            (lines.where(F.col("file_no") % len(LAYOUTS) == kind)
+             .repartition("file_no").sortWithinPartitions("file_no", *order)
+             .select("file_no", *[text[c] for c in layout])
+             .write.mode("append").options(**RAW_WRITE_OPTIONS).partitionBy("file_no").csv(path))
     return path
 
 
