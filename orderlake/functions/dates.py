@@ -38,9 +38,10 @@ def date_fields(t: Column) -> dict[str, Column]:
     """Shape check and the year, month, day numbers of stripped date text.
 
     Computed as separate columns so the validation step refers to plain
-    columns (small generated code, no repeated sub-trees).
+    columns (small generated code, no repeated sub-trees). Text of another
+    shape has no numbers: a cast that fails costs a thrown exception.
     """
-    u = F.replace(t, F.lit("/"), F.lit("-"))
+    u = F.replace(F.regexp_substr(t, F.lit(_SHAPE)), F.lit("/"), F.lit("-"))
     first = F.substring_index(u, "-", 1)
     middle = F.substring_index(F.substring_index(u, "-", 2), "-", -1)
     last = F.substring_index(u, "-", -1)
