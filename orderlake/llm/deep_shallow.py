@@ -16,8 +16,10 @@ ranges of doc_id, so "in a smaller doc_id" is "in an earlier chunk, or here".
    chunk / the same run, here first / other runs.
 3. Windows under anchors with other runs are suffixes to be sorted; each
    distinct one is sent once as a 96-bit fingerprint, and its owner answers
-   whether an earlier chunk has it.
-4. Chunks mark the windows and cut the covered bytes.
+   whether an earlier chunk has it.  What the sort settles within the chunk,
+   the bytes already covered and the windows still open, goes along as ranges,
+   so that windows are found and sorted once.
+4. Chunks mark the open windows by the answers and cut the covered bytes.
 
 A chunk sends an anchor or string once however often it holds it, so a passage
 that every document shares costs one entry for each chunk.  Answers come in
@@ -187,7 +189,9 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gra
     of windows with one anchor, window starts within one document."""
     out = []
     width = length - gram + 1
-    room = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(data))  # bytes left in the document
+    short = np.minimum(np.diff(offsets), length - 1)
+    fits = np.ones(len(data), bool)  # a window from here ends within the document
+    fits[ranges(offsets[1:] - short, short)] = False
     for b in range(0, max(0, len(data) - length + 1), BLOCK):
         part = data[b:b + BLOCK + length - 1]
         h, n, base, kept = part.astype(U64) + U64(1), 1, U64(0x9E3779B97F4A7C15), {}
@@ -197,7 +201,8 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gra
                 h = h[:-n] * power[n] + h[n:]
                 power[2 * n] = power[n] * power[n]
                 n *= 2
-                kept[n] = h
+                if gram & n:
+                    kept[n] = h
             rest = gram - n
             while rest:
                 step = 1 << (rest.bit_length() - 1)
@@ -213,8 +218,7 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gra
         if n < width:
             low = np.minimum(low[:len(low) - (width - n)], low[width - n:])
         anchor = (low & U64((1 << 21) - 1)).astype(np.int64)
-        ok = room[b:b + len(anchor)] >= length
-        s = np.flatnonzero(ok)
+        s = np.flatnonzero(fits[b:b + len(anchor)])
         if not len(s):
             continue
         a = anchor[s]
@@ -252,7 +256,7 @@ def _unpack(raw: bytes, *sizes: int) -> list[np.ndarray]:
 _QUESTION = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("raw", pa.binary())])
 _ANSWER = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("raw", pa.binary())])
 QUESTION, ANSWER = "bucket int, chunk int, raw binary", "chunk int, kind int, bucket int, raw binary"
-COPIES, CODES, EARLIER = 0, 1, 2
+COPIES, CODES, EARLIER, SETTLED = 0, 1, 2, 3
 
 
 def _by_bucket(chunk: int, bucket: np.ndarray, buckets: int, columns) -> pa.Table:
@@ -266,6 +270,8 @@ def _by_bucket(chunk: int, bucket: np.ndarray, buckets: int, columns) -> pa.Tabl
 def _owner(kind: int, sizes: tuple[int, ...], answer):
     """The task that owns a bucket: all questions sorted by key and chunk."""
     def run(key, table):
+        if key[0].as_py() < 0:  # no questions, but what a chunk tells itself
+            return pa.Table.from_pylist([{**r, "kind": SETTLED} for r in table.to_pylist()], schema=_ANSWER)
         rows = sorted(table.select(["chunk", "raw"]).to_pylist(), key=lambda r: r["chunk"])
         parts = [_unpack(r["raw"], *sizes) for r in rows]
         n = [len(p[0]) for p in parts]
@@ -308,8 +314,31 @@ def _short_name(text: bytes) -> int:
     return int(hashlib.md5(text).hexdigest()[:15], 16)
 
 
+def _edges(mask: np.ndarray) -> np.ndarray:
+    """Start, end, start, end, ... of the ranges where the mask is true."""
+    return np.flatnonzero(np.diff(np.r_[False, mask, False]))
+
+
+def _marks(data: np.ndarray, starts: np.ndarray, buckets: int):
+    """Distinct 96-bit fingerprints of the windows, ascending: (bucket, first
+    64 bits, last 32 bits, number of the fingerprint of each window)."""
+    a, b = span_hash_blocks(data, starts, LENGTH)
+    b >>= U64(32)
+    order = np.argsort(a)
+    x, y = a[order], b[order]
+    if ((x[1:] == x[:-1]) & (y[1:] != y[:-1])).any():
+        order = np.lexsort((b, a))
+        x, y = a[order], b[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    of = np.empty(len(x), np.int64)
+    of[order] = np.cumsum(new) - 1
+    x, y = x[new], y[new]
+    return ((x >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64), x, y, of
+
+
 class _Chunk:
-    """The texts of a chunk that take part, their runs, and all answers."""
+    """The texts of a chunk that take part, and all answers."""
 
     def __init__(self, docs: pa.Table, answers: pa.Table, buckets: int):
         self.buckets = buckets
@@ -318,6 +347,8 @@ class _Chunk:
         for r in answers.select(["kind", "bucket", "raw"]).to_pylist():
             if r["kind"] == COPIES:
                 copies.update(map(tuple, np.frombuffer(r["raw"], "<i8").reshape(-1, 2).tolist()))
+            elif r["kind"] == SETTLED:
+                self.settled = r["raw"]
             else:
                 self.answers[r["kind"], r["bucket"]] = r["raw"]
         docs = docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])
@@ -330,8 +361,11 @@ class _Chunk:
         mine = np.flatnonzero(~self.is_copy)
         self.ids = ids[mine]
         self.data, self.offsets = flat(self.text.take(pa.array(mine)).combine_chunks())
+
+    def find_runs(self) -> None:
+        """The runs of windows and their distinct anchors."""
         self.lo, self.hi, key, run, self.doc = window_runs(self.data, self.offsets)
-        bucket = key % U64(buckets)
+        bucket = key % U64(self.buckets)
         place = (bucket << U64(40)) | (key >> U64(24))
         self.anchor, self.of = np.unique(place, return_inverse=True)
         run = run >> U64(25)  # below VARIED
@@ -347,6 +381,7 @@ class _Chunk:
         self.varied, self.run = low != high, np.where(low != high, U64(VARIED), low)
 
     def questions(self, chunk: int) -> pa.Table:
+        self.find_runs()
         return _by_bucket(chunk, (self.anchor >> U64(40)).astype(np.int64), self.buckets,
                           [(self.anchor & U64(VARIED), 5), (self.run, 5)])
 
@@ -358,45 +393,55 @@ class _Chunk:
                 out[cut[b]:cut[b + 1]] = _bits(self.answers[kind, b], int(cut[b + 1] - cut[b]))
         return out
 
-    def sort_windows(self) -> None:
-        """Sort the windows under anchors with several runs; find their classes."""
-        self.codes = self._answered(CODES, (self.anchor >> U64(40)).astype(np.int64))
-        abroad = self.codes == 3
-        chosen = abroad | (self.varied & (self.least < self.most) & (self.codes != 1))
-        runs = np.flatnonzero(chosen[self.of])
+    def sort_windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sort the windows under anchors with several runs.  Returns the bytes
+        known to be covered, and the first starts of the windows that an
+        earlier chunk may have, each as a mask over the bytes."""
+        self.find_runs()
+        codes = self._answered(CODES, (self.anchor >> U64(40)).astype(np.int64))
+        abroad = codes == 3
+        local = self.varied & (codes != 1)
+        runs = np.flatnonzero((abroad | (local & (self.least < self.most)))[self.of])
         size = self.hi[runs] - self.lo[runs] + 1
         starts = ranges(self.lo[runs], size)
-        doc, is_abroad = np.repeat(self.doc[runs], size), np.repeat(abroad[self.of[runs]], size)
+        win_ids, is_abroad = np.repeat(self.ids[self.doc[runs]], size), np.repeat(abroad[self.of[runs]], size)
         order, cls = deep_shallow_sort(self.data, starts)
-        self.starts, self.cls = starts[order], cls
-        self.win_ids = self.ids[doc[order]]
-        first = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]]) if len(cls) else np.zeros(0, np.int64)
-        self.class_least = np.minimum.reduceat(self.win_ids, first) if len(first) else np.zeros(0, np.int64)
-        sent = np.flatnonzero(np.logical_or.reduceat(is_abroad[order], first)) if len(first) else first
-        s = self.starts[first[sent]]
-        a, b = span_hash_blocks(self.data, s, LENGTH)
-        order = np.lexsort((b, a, a % U64(self.buckets)))
-        self.sent, self.mark, self.mark2 = sent[order], a[order], b[order] >> U64(32)
+        starts, win_ids = starts[order], win_ids[order]
+        cover = np.zeros(len(self.data) + 1, np.int32)
+        still = np.zeros(len(self.data), bool)
+        if len(cls):
+            first = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]])
+            late = win_ids > np.minimum.reduceat(win_ids, first)[cls]
+            still[starts[~late & np.logical_or.reduceat(is_abroad[order], first)[cls]]] = True
+            np.add.at(cover, starts[late], 1)
+            np.add.at(cover, starts[late] + LENGTH, -1)
+        # Runs that are the same everywhere need no sorting.
+        same = ~abroad & ~local
+        gone = same[self.of] & ((codes[self.of] == 1) | (self.ids[self.doc] > self.least[self.of]))
+        np.add.at(cover, self.lo[gone], 1)
+        np.add.at(cover, self.hi[gone] + LENGTH, -1)
+        return np.cumsum(cover)[:-1] > 0, still
 
     def fingerprints(self, chunk: int) -> pa.Table:
-        self.sort_windows()
-        return _by_bucket(chunk, (self.mark % U64(self.buckets)).astype(np.int64), self.buckets,
-                          [(self.mark, 8), (self.mark2, 4)])
+        covered, still = self.sort_windows()
+        bucket, mark, mark2, _ = _marks(self.data, np.flatnonzero(still), self.buckets)
+        covered, still = _edges(covered), _edges(still)
+        own = {"bucket": -1 - chunk, "chunk": chunk, "raw": _pack((np.r_[len(covered), covered, still], 5))}
+        return pa.concat_tables([_by_bucket(chunk, bucket, self.buckets, [(mark, 8), (mark2, 4)]),
+                                 pa.Table.from_pylist([own], schema=_QUESTION)])
 
     def result(self) -> pa.Table:
-        self.sort_windows()
-        early = np.zeros(len(self.class_least), bool)
-        early[self.sent] = self._answered(EARLIER, (self.mark % U64(self.buckets)).astype(np.int64)) & 1 == 1
+        edges = _unpack(self.settled, 5)[0].astype(np.int64)
+        covered, still = edges[1:edges[0] + 1], edges[edges[0] + 1:]
+        starts = ranges(still[::2], still[1::2] - still[::2])
+        bucket, _, _, of = _marks(self.data, starts, self.buckets)
+        early = self._answered(EARLIER, bucket) & 1 == 1
+        s = starts[early[of]]
         cover = np.zeros(len(self.data) + 1, np.int32)
-        hit = early[self.cls] | (self.win_ids > self.class_least[self.cls])
-        s = self.starts[hit]
+        np.add.at(cover, covered[::2], 1)
+        np.add.at(cover, covered[1::2], -1)
         np.add.at(cover, s, 1)
         np.add.at(cover, s + LENGTH, -1)
-        # Runs that are the same everywhere need no sorting.
-        same = (self.codes != 3) & ~(self.varied & (self.codes != 1))
-        gone = same[self.of] & ((self.codes[self.of] == 1) | (self.ids[self.doc] > self.least[self.of]))
-        np.add.at(cover, self.lo[gone], 1)
-        np.add.at(cover, self.hi[gone] + LENGTH, -1)
         removed = np.cumsum(cover)[:-1] > 0
         sums = np.r_[0, np.cumsum(removed)]
         head = removed.copy()
@@ -424,8 +469,10 @@ class _Chunk:
 
 def span_hash_blocks(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Two independent hashes of the strings of `length` bytes from `starts`."""
-    half = length // 2
-    a, b = span_hash(data, starts, starts + half), span_hash(data, starts + half, starts + length)
+    half, n = length // 2, len(starts)
+    middle = starts + half
+    both = span_hash(data, np.r_[starts, middle], np.r_[middle, starts + length])
+    a, b = both[:n], both[n:]
     with np.errstate(over="ignore"):
         return mix(a * U64(0x9DDFEA08EB382D69) + b), mix(mix(a ^ U64(0xD6E8FEB86659FD93)) * U64(0xC2B2AE3D27D4EB4F) + mix(b))
 
@@ -475,7 +522,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     codes = both(copies, ask, QUESTION).groupBy("bucket").applyInArrow(_owner(CODES, (5, 5), _codes), ANSWER)
     known = copies.unionByName(codes)
     early = both(known, ask_windows, QUESTION).groupBy("bucket").applyInArrow(_owner(EARLIER, (8, 4), _earlier), ANSWER)
-    return both(known.unionByName(early), finish, RESULT)
+    return both(copies.unionByName(early), finish, RESULT)
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
